@@ -41,11 +41,11 @@ def alignment_hits(alignments: DataFrame, taxonomy: DataFrame) -> DataFrame:
     so the rows are added up before any join: the join then sees each contig
     once per sample and genus, however many reads it drew.
     """
-    counts = alignments.groupBy("sample", "kraken_genus_taxid", "accession").agg(
+    counts = alignments.groupBy("accession", "kraken_genus_taxid", "sample").agg(
         F.count(F.lit(1)).alias("mapped"),
         F.count_if(is_primary()).alias("primary"),
     )
-    return dimension_join(counts, taxonomy, ["accession"], spread=["sample", "kraken_genus_taxid"])
+    return dimension_join(counts, taxonomy, ["accession"])
 
 
 def primary_pairs(hits: DataFrame) -> DataFrame:
@@ -71,9 +71,13 @@ def first_alignment(alignments: DataFrame) -> DataFrame:
             "accession",
             "start_position",
         ]
+    keys = [F.col(c).alias(f"_{i}") if isinstance(c, str) else c.alias(f"_{i}") for i, c in enumerate(order)]
     rest = [c for c in names if c not in ("sample", "read")]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("first")
-    return alignments.groupBy("sample", "read").agg(first).select("sample", "read", "first.*")
+    first = F.min(F.struct(*keys, *rest)).alias("first")
+    # The read comes first among the keys: it tells rows apart soonest when Spark sorts.
+    return alignments.groupBy("read", "sample").agg(first).select(
+        "sample", "read", *[F.col(f"first.{c}").alias(c) for c in rest]
+    )
 
 
 def placements(hits: DataFrame, offsets: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -84,12 +88,8 @@ def placements(hits: DataFrame, offsets: DataFrame, pairs: DataFrame) -> DataFra
     first = F.min(F.struct("genome", "start_pos")).alias("first")
     starts = offsets.groupBy("accession").agg(first).select("accession", "first.*")
     where = hits.select("sample", "kraken_genus_taxid", "accession").distinct()
-    placed = dimension_join(
-        where, starts, ["accession"], how="inner", spread=["sample", "kraken_genus_taxid"]
-    )
-    return dimension_join(
-        placed, pairs, PAIR, how="left_semi", spread=["accession"], null_safe=["genome"]
-    )
+    placed = dimension_join(where, starts, ["accession"], how="inner")
+    return dimension_join(placed, pairs, PAIR, how="left_semi", null_safe=["genome"])
 
 
 def place_reads(first: DataFrame, places: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def place_reads(first: DataFrame, places: DataFrame) -> DataFrame:
     return dimension_join(
         first.select("sample", "read", "kraken_genus_taxid", "accession", "start_position"),
         places,
-        ["sample", "kraken_genus_taxid", "accession"],
+        ["accession", "kraken_genus_taxid", "sample"],
         spread=["read"],
     ).withColumn("start_genome", F.col("start_position") + F.col("start_pos"))
 

@@ -51,10 +51,7 @@ def genome_sizes(offsets: DataFrame, pairs: DataFrame, width: int = WINDOW_WIDTH
     """Length and number of windows of each genome, for every pair that hit it."""
     sizes = offsets.groupBy("genome").agg(F.max("end_pos").alias("size"))
     return (
-        dimension_join(
-            pairs, sizes, ["genome"], how="inner",
-            spread=["sample", "kraken_genus_taxid"], null_safe=["genome"],
-        )
+        dimension_join(pairs, sizes, ["genome"], how="inner", null_safe=["genome"])
         .select(*PAIR, "size")
         .withColumn("n_windows", bin_position(F.col("size"), width))
     )
@@ -166,9 +163,7 @@ def judged_profile(
     on = {"pair": PAIR, "genome": ["sample", "genome"]}[by]
     judged = verdicts.select(*on).distinct()
     kept_sizes = dimension_join(sizes, judged, on, how="left_semi", null_safe=["genome"])
-    kept_counts = dimension_join(
-        counts, judged, on, how="left_semi", spread=["window"], null_safe=["genome"]
-    )
+    kept_counts = dimension_join(counts, judged, on, how="left_semi", null_safe=["genome"])
     profile = coverage_profile(kept_counts, kept_sizes)
     names = nodes.select(F.col("id").cast("string").alias("kraken_genus_taxid"), "name")
     return dimension_join(profile, names, ["kraken_genus_taxid"], spread=["window"])

@@ -28,7 +28,7 @@ def select_assignments(
     if closure is None:
         raise ValueError("including children or parents needs the closure of a report")
     more = expand_taxa(closure, taxids, children, parents).withColumn("_more", F.lit(True))
-    flagged = dimension_join(assignments, more, ["sample", "taxid"], spread=["read_id"])
+    flagged = dimension_join(assignments, more, ["taxid", "sample"], spread=["read_id"])
     inside = listed | F.coalesce("_more", F.lit(False))
     return flagged.where(~inside if exclude else inside).drop("_more")
 
@@ -43,7 +43,7 @@ def first_ids(
     """
     if max_reads is None:
         return selected.select("sample", "read_id")
-    ids = selected.groupBy("sample", "read_id").agg(F.min("line_no").alias("line_no"))
+    ids = selected.groupBy("read_id", "sample").agg(F.min("line_no").alias("line_no"))
     numbered = running_sum(
         ids, ["sample"], ["line_no"], F.lit(1), "_n", tie=["read_id"], block=block
     )
@@ -74,9 +74,9 @@ def match_reads(
     if anywhere:
         fits = F.collect_set("_mark").alias("_marks")
         ok = F.array_contains("_marks", "") | F.array_contains("_marks", F.col("_own"))
-        keyed = listed.distinct().groupBy("sample", *target, "_key").agg(fits)
+        keyed = listed.distinct().groupBy("_key", "sample", *target).agg(fits)
     else:
-        keyed = listed.groupBy("sample", *target, "_key").agg(
+        keyed = listed.groupBy("_key", "sample", *target).agg(
             F.max(F.col("_mark") == "").alias("_any"),
             F.max(F.col("_mark") == "/1").alias("_one"),
             F.max(F.col("_mark") == "/2").alias("_two"),
@@ -91,7 +91,7 @@ def match_reads(
     sided = reads.withColumn("_rkey", read_key).withColumn(
         "_own", _mate_mark(F.col("id"), F.col("_rkey"))
     )
-    cond = (F.col("sample") == F.col("_sample")) & (F.col("_rkey") == F.col("_key")) & ok
+    cond = (F.col("_rkey") == F.col("_key")) & (F.col("sample") == F.col("_sample")) & ok
     how = "inner" if target else "left_semi"
     return sided.join(keyed, cond, how).select(*target, *reads.columns)
 
@@ -133,7 +133,7 @@ def extract_all(
     selected = dimension_join(
         assignments.select("sample", "taxid", "read_id"),
         wanted,
-        ["sample", "taxid"],
+        ["taxid", "sample"],
         how="inner",
         spread=["read_id"],
     )

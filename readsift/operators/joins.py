@@ -53,7 +53,8 @@ def dimension_join(
     ``spread`` and the dimension is repeated once per part. The salt depends
     on row values only, so a recomputed task gives the same rows.
 
-    ``null_safe`` names keys on which NULL matches NULL.
+    Rows already added up per key need no ``spread``. ``null_safe`` names keys on which
+    NULL matches NULL.
     """
     small = salts <= 1 or not spread or fits_broadcast(dim)
     keys = list(on)

@@ -10,7 +10,7 @@ from readsift.operators.joins import SALTS, dimension_join
 
 K = 31
 CONFIDENCE = 0.2
-READ = ["sample", "id"]
+READ = ["id", "sample"]
 
 
 def kmer_index(
@@ -41,10 +41,8 @@ def kmer_index(
     pairs = spans.select("lo", "hi").distinct()
     above_lo = tree.select("ancestor", "ancestor_depth", F.col("line_no").alias("lo"))
     above_hi = tree.select("ancestor", F.col("line_no").alias("hi"))
-    shared = dimension_join(pairs, above_lo, ["lo"], how="inner", spread=["hi"])
-    common = dimension_join(
-        shared, above_hi, ["hi", "ancestor"], how="inner", spread=["lo"]
-    )
+    shared = dimension_join(pairs, above_lo, ["lo"], how="inner")
+    common = dimension_join(shared, above_hi, ["hi", "ancestor"], how="inner")
     lca = common.groupBy("lo", "hi").agg(F.max_by("ancestor", "ancestor_depth").alias("taxid"))
     return dimension_join(spans, lca, ["lo", "hi"], how="inner", spread=["kmer"]).select(
         "kmer", "taxid"
@@ -135,7 +133,7 @@ def clade_report(
         "sample", F.col("ancestor").alias("clade"), F.col("descendant").alias("taxid"), "distance"
     )
     clades = (
-        dimension_join(counts, tree, ["sample", "taxid"], how="inner", spread=["n"])
+        dimension_join(counts, tree, ["sample", "taxid"], how="inner")
         .groupBy("sample", "clade")
         .agg(
             F.sum("n").alias("clade_reads"),
@@ -144,7 +142,7 @@ def clade_report(
             ),
         )
     )
-    out = dimension_join(clades, totals, ["sample"], spread=["clade"]).select(
+    out = dimension_join(clades, totals, ["sample"]).select(
         "sample",
         F.col("clade").alias("taxid"),
         "clade_reads",

@@ -49,12 +49,8 @@ def taxonomy_verdict(
     at most ``min_alignments`` rows, unnamed ones included, get no verdict.
     """
     named = genera.select(*GENUS, F.col("name").alias("kraken_name"))
-    joined = dimension_join(
-        hits.where(F.col("primary") > 0).select(*GENUS, "primary", "name"),
-        named,
-        GENUS,
-        spread=["name"],
-    )
+    counted = hits.where(F.col("primary") > 0).select(*GENUS, "primary", "name")
+    joined = dimension_join(counted, named, GENUS)
     same = F.col("kraken_name") == first_word(F.col("name"))
     totals = joined.groupBy(*GENUS).agg(
         F.sum("primary").alias("alignments"),
@@ -117,9 +113,7 @@ def species_top(
     """The ``n`` most frequent aligned taxa of each accepted genus, ties kept."""
     accepted = refined.where(F.col("tick_color") == TRUE_COLOR).select(*GENUS)
     counts = (
-        dimension_join(
-            hits.select(*GENUS, "name", "mapped"), accepted, GENUS, how="left_semi", spread=["name"]
-        )
+        dimension_join(hits.select(*GENUS, "name", "mapped"), accepted, GENUS, how="left_semi")
         .groupBy(*GENUS, "name")
         .agg(F.sum("mapped").alias("n"))
     )
@@ -128,7 +122,7 @@ def species_top(
     genus_names = nodes.select(
         F.col("id").cast("string").alias("kraken_genus_taxid"), F.col("name").alias("genera")
     )
-    return dimension_join(top.drop("_rank"), genus_names, ["kraken_genus_taxid"], spread=["name"])
+    return dimension_join(top.drop("_rank"), genus_names, ["kraken_genus_taxid"])
 
 
 def compare_groupings(genera: DataFrame, refined: DataFrame, uniqued: DataFrame) -> DataFrame:

@@ -10,6 +10,13 @@ from readsift.operators import alignments as al
 from readsift.operators import coverage as cov
 from readsift.operators import verdict as vd
 from readsift.operators.dims import contig_offsets, contig_taxonomy, genomes_hit
+from readsift.session import stage
+
+
+# Columns that choose and place the first row of a read.
+PLACED_COLUMNS = (
+    "sample read kraken_genus_taxid line_no flag mapq accession start_position"
+).split()
 
 
 @dataclass
@@ -28,21 +35,27 @@ class Evaluation:
     """The results of a run, each a DataFrame over the same shared steps.
 
     Alignment rows are read for two things only: counts per (sample, genus, contig),
-    which feed all that needs no position, and the first row per read. Spark reuses
-    equal shuffles, so nothing needs to be cached.
+    which feed all that needs no position, and window counts of the first row per read.
+    Both are small beside the rows. With ``staged`` they are written out once and
+    shared by all results; without, each result is one lazy plan over the inputs.
     """
 
-    def __init__(self, inputs: Inputs, width: int = cov.WINDOW_WIDTH):
+    def __init__(self, inputs: Inputs, width: int = cov.WINDOW_WIDTH, staged: bool = True):
+        def keep(df, name):
+            return stage(df, name) if staged else df
+
         self.nodes = inputs.nodes
         self.genera = vd.genus_report(inputs.report)
         mapped = al.mapped_only(inputs.alignments)
         taxonomy = contig_taxonomy(inputs.contig_genomes, inputs.genomes, inputs.nodes)
-        self.hits = al.alignment_hits(mapped, taxonomy)
+        self.hits = keep(al.alignment_hits(mapped, taxonomy), "hits")
         self.pairs = al.primary_pairs(self.hits)
-        self.offsets = genomes_hit(contig_offsets(inputs.lengths, taxonomy), self.pairs)
-        places = al.placements(self.hits, self.offsets, self.pairs)
-        self.placed = al.place_reads(al.first_alignment(mapped), places)
-        self.counts = cov.window_counts(self.placed, width=width)
+        offsets = genomes_hit(contig_offsets(inputs.lengths, taxonomy), self.pairs)
+        self.offsets = keep(offsets, "offsets")
+        places = keep(al.placements(self.hits, self.offsets, self.pairs), "places")
+        needed = [c for c in PLACED_COLUMNS if c in mapped.columns]
+        self.placed = al.place_reads(al.first_alignment(mapped.select(*needed)), places)
+        self.counts = keep(cov.window_counts(self.placed, width=width), "windows")
         self.sizes = cov.genome_sizes(self.offsets, self.pairs, width=width)
 
     def coverage(self) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_LOCAL_BASES: dict[str, str] = {}
 
 
 def build_session(
@@ -47,5 +49,20 @@ def staging_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="readsift-")
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_BASES:
+            _LOCAL_BASES[app] = tempfile.mkdtemp(prefix="readsift-")
+        base = _LOCAL_BASES[app]
     return f"{base.rstrip('/')}/readsift/{name}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the staging folder and read it back.
+
+    Cuts the plan where several results share a costly step: the step runs once, survives
+    lost executors, and Spark knows the size of what it joins from there on.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -300,7 +300,8 @@ def read_sequences(
     )
 
 
-def read_genomes(spark: SparkSession, path: str) -> DataFrame:
+def read_genomes(spark: SparkSession, path: str, glob: str = "*.fna{,.gz}") -> DataFrame:
     """All contigs of ``*.fna`` and ``*.fna.gz`` below a folder as one table."""
-    rows = read_fasta(spark, path, glob="*.fna{,.gz}")
-    return rows.select("path", "line_no", first_word(F.col("description")).alias("id"), "description", "seq")
+    rows = read_fasta(spark, path, glob)
+    name = first_word(F.col("description"))
+    return rows.select("path", "line_no", name.alias("id"), "description", "seq")

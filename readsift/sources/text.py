@@ -175,9 +175,13 @@ def read_taxon_list(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("sample", F.trim("line").cast("int").alias("taxid"))
 
 
-def list_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct sample names of the files at a path; file contents are not read."""
+def list_samples(spark: SparkSession, path: str, path_pattern: str | None = None) -> DataFrame:
+    """Distinct sample names of the files at a path; file contents are not read.
+
+    The name is that of the file, or what ``path_pattern`` finds in its path.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     )
-    return files.select(sample_of(F.col("path")).alias("sample")).distinct()
+    name = F.regexp_extract("path", path_pattern, 1) if path_pattern else sample_of(F.col("path"))
+    return files.select(name.alias("sample")).distinct()

@@ -13,6 +13,7 @@ from readsift.operators import alignments as al
 from readsift.operators import coverage as cov
 from readsift.operators import dims, extract, kmer, taxonomy
 from readsift.operators import verdict as vd
+from readsift.plans.classification import Classifier
 from readsift.plans.evaluation import Evaluation, Inputs
 from readsift.session import staging_path
 from readsift.sinks import writers
@@ -207,16 +208,16 @@ def kmer_index(s: Standins) -> DataFrame:
     return s.index.select(kmer_text(F.col("kmer"), K).alias("kmer"), "taxid")
 
 
+def classifier(s: Standins) -> Classifier:
+    return Classifier(s.contig_seq, s.taxonomy, s.taxa_tree, K)
+
+
 def classify_reads(s: Standins) -> DataFrame:
-    closure = taxonomy.taxon_closure(s.taxa_tree)
-    return kmer.classify_reads(s.kmer_reads, s.index, closure, K)
+    return classifier(s).classify(s.kmer_reads)
 
 
 def clade_report_kmers(s: Standins) -> DataFrame:
-    closure = taxonomy.taxon_closure(s.taxa_tree)
-    index = s.index
-    found = kmer.classify_reads(s.kmer_reads, index, closure, K)
-    return kmer.clade_report(found, closure, kmer.kmer_hits(s.kmer_reads, index, K)).drop("percentage")
+    return classifier(s).report(s.kmer_reads).drop("percentage")
 
 
 def taxa_frame(s: Standins) -> DataFrame:

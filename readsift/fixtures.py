@@ -11,6 +11,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readsift.operators.joins import plan_bytes
+from readsift.session import spread_scan
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -166,7 +169,8 @@ def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     for table in TABLES:
         text, n = re.subn(rf"\b(from|join) {table}\b", rf"\1 {{{table}}}", sql)
         if n:
-            sql, used[table] = text, spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            scan = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+            sql, used[table] = text, spread_scan(scan, scan.columns[0], plan_bytes(scan))
     return spark.sql(sql, **used)
 
 

@@ -12,18 +12,19 @@ SALTS = 8
 
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan; None where the session hides it."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except AttributeError:  # remote sessions have no JVM handle
+    plan = getattr(df, "_jdf", None)  # remote sessions have no JVM handle
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's own size rule will broadcast this side."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = plan_bytes(df)
-    return size is not None and 0 <= size <= limit
+    if size is None:
+        return False
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return size <= conf.autoBroadcastJoinThreshold()
 
 
 def key_match(left: DataFrame, right: DataFrame, pairs, null_safe=()) -> Column:

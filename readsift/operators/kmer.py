@@ -72,46 +72,55 @@ def classify_reads(
     going to their common ancestor. From there the read moves up until the hits in the
     clade reach ``confidence`` of its valid k-mers.
 
-    k-mer rows are added up to (read, taxon) before the shuffle by read; all further
-    steps are windows on that one partitioning.
+    k-mer rows are added up to (read, taxon) before the shuffle by read. A read with hits in
+    one taxon only is decided at once: all its clades hold the same hits. The others
+    meet their paths, and windows on the same partitioning score them.
     """
     hits = kmer_hits(reads, index, k, salts).groupBy(*READ, "taxid").agg(
         F.count_if(F.col("kmer") >= 0).alias("hits")
     )
+    per_read = Window.partitionBy(*READ)
+    counted = (
+        hits.repartition(*READ)
+        .withColumn("n_taxa", F.count("taxid").over(per_read))
+        .withColumn("n_kmers", F.sum("hits").over(per_read))
+    )
+    known = F.when(F.col("taxid").isNotNull(), F.col("hits"))
+    one_taxon = (
+        counted.where(F.col("n_taxa") <= 1)
+        .groupBy(*READ)
+        .agg(F.max("taxid").alias("only"), F.max(known).alias("own"), F.max("n_kmers").alias("n_kmers"))
+        .withColumn("taxid", F.when(F.try_divide("own", "n_kmers") >= confidence, F.col("only")))
+        .select(*READ, F.coalesce("taxid", F.lit(0)).alias("taxid"), "n_kmers")
+    )
+    several = counted.where((F.col("n_taxa") > 1) & F.col("taxid").isNotNull())
+    return one_taxon.unionByName(_best_taxon(several, closure, confidence))
+
+
+def _best_taxon(hits: DataFrame, closure: DataFrame, confidence: float) -> DataFrame:
+    """Call of every read from its hits per taxon, by path score, ties and confidence."""
     tree = closure.select("ancestor", "ancestor_depth", F.col("descendant").alias("taxid"))
-    paths = dimension_join(hits, tree, ["taxid"], spread=READ)
+    paths = dimension_join(hits, tree, ["taxid"], how="inner", spread=READ)
     own = F.when(F.col("ancestor") == F.col("taxid"), F.col("hits"))
     per_read = Window.partitionBy(*READ)
     per_clade = Window.partitionBy(*READ, "ancestor")
     per_taxon = Window.partitionBy(*READ, "taxid")
     scored = (
         paths.withColumn("own", own)
-        .withColumn(
-            "valid",
-            F.sum(F.when(F.col("taxid").isNull(), F.col("hits")).otherwise(F.col("own"))).over(
-                per_read
-            ),
-        )
         .withColumn("clade", F.sum("hits").over(per_clade))
         .withColumn("own_clade", F.sum("own").over(per_clade))
-        .withColumn(
-            "score", F.when(F.col("taxid").isNotNull(), F.sum("own_clade").over(per_taxon))
-        )
+        .withColumn("score", F.sum("own_clade").over(per_taxon))
         .withColumn("tied", F.col("score") == F.max("score").over(per_read))
         .withColumn(
-            "ties",
-            F.sum(F.when(F.col("tied") & F.col("own").isNotNull(), 1)).over(per_read),
+            "ties", F.sum(F.when(F.col("tied") & F.col("own").isNotNull(), 1)).over(per_read)
         )
         .withColumn("covers", F.sum(F.when(F.col("tied"), 1)).over(per_clade))
     )
-    enough = F.try_divide("clade", "valid") >= confidence
+    enough = F.try_divide("clade", "n_kmers") >= confidence
     fit = F.col("tied") & (F.col("covers") == F.col("ties")) & enough
+    best = F.max_by(F.when(fit, F.col("ancestor")), F.when(fit, F.col("ancestor_depth")))
     return scored.groupBy(*READ).agg(
-        F.coalesce(
-            F.max_by(F.when(fit, F.col("ancestor")), F.when(fit, F.col("ancestor_depth"))),
-            F.lit(0),
-        ).alias("taxid"),
-        F.max("valid").alias("n_kmers"),
+        F.coalesce(best, F.lit(0)).alias("taxid"), F.max("n_kmers").alias("n_kmers")
     )
 
 

@@ -19,7 +19,8 @@ def build_session(
 
     UTC keeps timestamp arithmetic independent of the cluster's zone. Adaptive
     execution packs small shuffle partitions, turns joins whose side proves small
-    into broadcasts, and splits partitions that one hot key makes too large.
+    into broadcasts, or into hash joins without a sort where every partition of that side
+    is small, and splits partitions that one hot key makes too large.
     Shuffle partitions are left to the cluster (``conf``); adaptive execution
     only merges them, so a generous number is safe.
     """
@@ -28,6 +29,7 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **(conf or {}),
     }
@@ -66,3 +68,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SPREAD_BYTES = 1 << 20
+SPLIT_BYTES = 128 << 20
+
+
+def spread_scan(scan: DataFrame, key: str, size: int | None) -> DataFrame:
+    """Repartition a scan too small to give every core a split of usual size.
+
+    A single row group or a gzipped file is one task, whatever the work that follows. At
+    least ``SPREAD_BYTES`` go to a task; a scan with ``SPLIT_BYTES`` per core stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    want = min(cores, (size or 0) // SPREAD_BYTES)
+    if want <= 1 or size >= cores * SPLIT_BYTES:
+        return scan
+    return scan.repartition(want, key)

@@ -226,7 +226,8 @@ def sniff_format(spark: SparkSession, path: str) -> str:
     """FASTA or FASTQ, by the first character of every file.
 
     Only file names pass the driver; the first bytes are read by tasks. An empty file, a
-    file that starts otherwise, or a mix of formats is an error.
+    file that starts otherwise, or a mix of formats is an error. Below a folder, empty
+    files beside others are passed over: Spark writes them for empty partitions.
     """
     names = [(f.path,) for f in list_files(path)]
     if not names:
@@ -243,8 +244,9 @@ def sniff_format(spark: SparkSession, path: str) -> str:
     files = spark.createDataFrame(names, "path string")
     marks = {r.mark for r in files.mapInArrow(look, "mark string").distinct().collect()}
     formats = {">": "fasta", "@": "fastq"}
-    if "" in marks:
+    if marks == {""}:
         raise ValueError(f"{path}: first line is blank")
+    marks.discard("")
     if marks - formats.keys():
         raise ValueError(f"{path}: neither FASTA nor FASTQ")
     if len(marks) > 1:

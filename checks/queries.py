@@ -15,7 +15,8 @@ from readsift.operators import dims, extract, kmer, taxonomy
 from readsift.operators import verdict as vd
 from readsift.plans.classification import Classifier
 from readsift.plans.evaluation import Evaluation, Inputs
-from readsift.session import staging_path
+from readsift.plans.extraction import Extraction
+from readsift.session import stage, staging_path
 from readsift.sinks import writers
 from readsift.sources import sequences, text
 
@@ -58,16 +59,14 @@ class Standins:
 
     @property
     def closure(self):
-        return taxonomy.taxon_closure(self.report)
+        return stage(taxonomy.taxon_closure(self.report), "closure")
 
     @property
     def taxa_tree(self):
-        return self.taxa.withColumn("sample", F.lit(fx.SAMPLE))
+        return self.taxa.withColumn("sample", F.expr(f"substring(concat('{fx.SAMPLE}', taxid), 1, 5)"))
 
-    @property
-    def index(self):
-        closure = taxonomy.taxon_closure(self.taxa_tree)
-        return kmer.kmer_index(self.contig_seq, self.taxonomy, closure, K)
+    def classifier(self) -> Classifier:
+        return Classifier(self.contig_seq, self.taxonomy, self.taxa_tree, K)
 
     def evaluation(self) -> Evaluation:
         return Evaluation(
@@ -200,24 +199,24 @@ def event_profile(s: Standins) -> DataFrame:
     return cov.coverage_profile(counts, sizes, ["grp"])
 
 
-def _extract(s: Standins, **kw) -> DataFrame:
-    return extract.extract_reads(s.assignments, s.reads, TAXIDS, s.closure, children=True, **kw)
+def extraction(s: Standins) -> Extraction:
+    return Extraction(s.assignments, s.reads, s.report)
 
 
-def kmer_index(s: Standins) -> DataFrame:
-    return s.index.select(kmer_text(F.col("kmer"), K).alias("kmer"), "taxid")
+def _extract(s: Standins, **options) -> DataFrame:
+    return extraction(s).extract(TAXIDS, children=True, **options)
 
 
-def classifier(s: Standins) -> Classifier:
-    return Classifier(s.contig_seq, s.taxonomy, s.taxa_tree, K)
+def kmer_index(s: Standins) -> DataFrame:
+    return s.classifier().index.select(kmer_text(F.col("kmer"), K).alias("kmer"), "taxid")
 
 
 def classify_reads(s: Standins) -> DataFrame:
-    return classifier(s).classify(s.kmer_reads)
+    return s.classifier().classify(s.kmer_reads)
 
 
 def clade_report_kmers(s: Standins) -> DataFrame:
-    return classifier(s).report(s.kmer_reads).drop("percentage")
+    return s.classifier().report(s.kmer_reads).drop("percentage")
 
 
 def taxa_frame(s: Standins) -> DataFrame:
@@ -262,18 +261,12 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "extract_parents": lambda s: _extract(s, parents=True),
     "extract_exclude": lambda s: _extract(s, exclude=True),
     "extract_max": lambda s: _extract(s, max_reads=MAX_READS),
-    "extract_paired": lambda s: extract.extract_reads(
-        s.assignments, s.mates, TAXIDS, s.closure, children=True
-    ),
-    "extract_all_genera": lambda s: extract.extract_all(
-        s.assignments, s.reads, s.closure, target_list(s)
-    ),
-    "taxon_counts": lambda s: extract.taxon_counts(
-        extract.select_assignments(s.assignments, TAXIDS, s.closure, children=True)
-    ),
-    "extract_summary": lambda s: extract.extract_summary(
-        s.assignments, s.reads, TAXIDS, s.closure, children=True
+    "extract_paired": lambda s: Extraction(s.assignments, s.mates, s.report).extract(
+        TAXIDS, children=True
     ),
+    "extract_all_genera": lambda s: extraction(s).all_genera(),
+    "taxon_counts": lambda s: extract.taxon_counts(extraction(s).select(TAXIDS, children=True)),
+    "extract_summary": lambda s: extraction(s).summary(TAXIDS, children=True),
     # coverage
     "place_reads": place_reads,
     "window_counts": lambda s: s.evaluation().counts,

@@ -1,6 +1,7 @@
 """Stand-in inputs derived from the star-schema test tables.
 
-Each view is one SQL text with the same rows in Spark and in DuckDB. A text names the views
+There is one sample, of a name computed from the rows: a literal would be folded away and
+plans would no longer show the sample as a key. Each view is one SQL text with the same rows in Spark and in DuckDB. A text names the views
 and tables it reads; ``view_sql`` inlines the views as common table expressions.
 """
 
@@ -9,8 +10,6 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from readsift.operators.joins import plan_bytes
 from readsift.session import spread_scan
 
@@ -43,7 +42,7 @@ select distinct cast(case when p_partkey % 10 = 9 then 9605 else 100 + p_partkey
     # Depth differs by genome; rows beyond a genome's depth all go to genomes 30, 31 and 41,
     # so each of these holds about a third of all rows.
     "fx_alignments": """
-select 'reads' as sample, b.read, b.flag, case when b.flag = 4 then '*' else c.accession end as accession,
+select substring(concat('reads', cast(b.line_no as string)), 1, 5) as sample, b.read, b.flag, case when b.flag = 4 then '*' else c.accession end as accession,
        case when b.flag = 4 then 0 else 1 + b.raw_pos % c.contig_length end as start_position,
        b.kraken_genus_taxid, b.line_no
 from (select concat('r', cast(l_orderkey as string), '.', cast(l_linenumber % 3 as string)) as read,
@@ -63,14 +62,14 @@ from (select concat('r', cast(l_orderkey as string), '.', cast(l_linenumber % 3
             from lineitem) l) b
 join fx_contigs c on c.contig_no = b.contig_no""",
     "fx_assignments": """
-select 'reads' as sample, case when o_orderkey % 11 = 0 then 'U' else 'C' end as status,
+select substring(concat('reads', cast(o_orderkey as string)), 1, 5) as sample, case when o_orderkey % 11 = 0 then 'U' else 'C' end as status,
        concat('r', cast(o_orderkey as string)) as read_id,
        cast(case when o_orderkey % 11 = 0 then 0
                  when o_orderkey % 7 = 0 then (case when o_orderkey % 10 = 9 then 9605 else 100 + o_orderkey % 10 end)
                  else 1000 + o_orderkey % 50 end as int) as taxid, o_orderkey as line_no
 from orders""",
     "fx_reads": """
-select 'reads' as sample, concat('r', cast(o_orderkey as string), case when o_orderkey % 3 = 0 then '/1' else '' end) as id,
+select substring(concat('reads', cast(o_orderkey as string)), 1, 5) as sample, concat('r', cast(o_orderkey as string), case when o_orderkey % 3 = 0 then '/1' else '' end) as id,
        translate(md5(cast(o_orderkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq from orders""",
     "fx_mates": """
 select sample, 1 as mate, id, seq from fx_reads
@@ -89,7 +88,7 @@ union all select distinct cast(1000 + p_partkey % 50 as int),
     "fx_taxon_reads": """
 select taxid, count(*) as n from fx_assignments where taxid <> 0 group by taxid""",
     "fx_report": """
-select 'reads' as sample, t.line_no, t.level_num, t.tax_rank, t.taxid, t.name, c.clade_reads, c.taxon_reads,
+select substring(concat('reads', cast(t.taxid as string)), 1, 5) as sample, t.line_no, t.level_num, t.tax_rank, t.taxid, t.name, c.clade_reads, c.taxon_reads,
        c.clade_reads * 10 as n_kmers, c.clade_reads * (6 + t.taxid % 5) as n_unique_kmers
 from fx_taxa t
 join (select clade, cast(sum(n) as bigint) as clade_reads,
@@ -124,7 +123,7 @@ select accession, genome, contig_no,
               translate(md5(concat('b', cast(contig_no as string))), '0123456789abcdef', 'ACGTACGTACGTACGT')) as seq
 from fx_contigs""",
     "fx_kmer_reads": """
-select 'reads' as sample, concat('q', cast(l.l_orderkey as string), '.', cast(l.l_linenumber as string)) as id,
+select substring(concat('reads', cast(l.l_orderkey as string)), 1, 5) as sample, concat('q', cast(l.l_orderkey as string), '.', cast(l.l_linenumber as string)) as id,
        case when l.l_orderkey % 13 = 0 then 'NNNNNNNNNNNNNNNNNNNNNNNN'
             else substring(s.seq, cast(1 + l.l_linenumber * 5 as int), 24) end as seq
 from lineitem l join fx_contig_seq s on s.accession = concat('c', cast(l.l_partkey as string))""",
@@ -173,11 +172,3 @@ def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
             sql, used[table] = text, spread_scan(scan, scan.columns[0], plan_bytes(scan))
     return spark.sql(sql, **used)
 
-
-def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "fx_report")
-
-
-def taxa(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stand-in taxonomy in report form."""
-    return load(spark, sf_dir, "fx_taxa").withColumn("sample", F.lit(SAMPLE))

@@ -8,60 +8,67 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readsift.operators.joins import dimension_join
+from readsift.operators.prefix import BLOCK_ROWS, running_max
 
 ROOT_TAXID = 1
 # Ranks with a letter of their own.
 MAIN_RANKS = ["R", "K", "D", "P", "C", "O", "F", "G", "S"]
 
 
-def taxon_closure(report: DataFrame) -> DataFrame:
+def taxon_closure(report: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
     """Every (ancestor, descendant) pair of a report, each taxon with itself included.
 
     Report rows are in pre-order, so the ancestor of a row at level ``b`` is the last
     earlier row of level ``b``. Each row is repeated for the levels 0 to its own, and one
-    ordered window per (sample, level) finds all ancestors: no recursion and no range
-    join. A report has a row per taxon, which bounds the windows by the number of taxa.
+    running maximum of lines per (sample, level) finds all ancestors: no recursion and no
+    range join. The maximum runs by blocks of lines, so no task sees a whole report.
 
     Rows with taxid 0 are skipped. A row more than one level below the row before it, or
-    a second row at the root's level, fails the query.
+    a second row at the root's level, fails the query: the lines of its ancestors
+    would not rise with their level.
     """
     rows = report.where(F.col("taxid") != 0).select(
         "sample", "line_no", F.col("level_num").cast("int").alias("level_num"), "taxid", "tax_rank"
     )
-    in_order = Window.partitionBy("sample").orderBy("line_no")
-    before = F.lag("level_num").over(in_order)
-    root_level = F.first("level_num").over(in_order)
-    broken = F.when(before.isNull(), F.col("taxid") != ROOT_TAXID).otherwise(
-        (F.col("level_num") > before + 1) | (F.col("level_num") <= root_level)
+    roots = rows.groupBy("sample").agg(F.min("level_num").alias("_root"))
+    leveled = dimension_join(rows, roots, ["sample"], spread=["line_no"])
+    depth = F.col("level_num") - F.col("_root")
+    spread = leveled.withColumn("depth", depth).withColumn(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("depth")))
     )
-    level = F.when(
-        broken,
-        F.raise_error(
-            F.format_string(
-                "report line %d of sample %s has no parent line", F.col("line_no"), F.col("sample")
-            )
-        ).cast("int"),
-    ).otherwise(F.col("level_num"))
-    checked = rows.withColumn("depth", level - root_level)
-    spread = checked.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("depth"))))
     own = F.col("bucket") == F.col("depth")
-    so_far = (
-        Window.partitionBy("sample", "bucket")
-        .orderBy("line_no")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = running_max(
+        spread,
+        ["sample", "bucket"],
+        ["line_no"],
+        F.when(own, F.struct("line_no", "taxid", "tax_rank")),
+        "above",
+        block=block,
     )
-    return spread.select(
-        "sample",
-        F.last(F.when(own, F.col("taxid")), ignorenulls=True).over(so_far).alias("ancestor"),
-        F.col("taxid").alias("descendant"),
-        (F.col("depth") - F.col("bucket")).alias("distance"),
-        F.col("bucket").alias("ancestor_depth"),
-        F.last(F.when(own, F.col("tax_rank")), ignorenulls=True)
-        .over(so_far)
-        .alias("ancestor_rank"),
-        "line_no",
-        "level_num",
-        "tax_rank",
+    up_down = Window.partitionBy("sample", "line_no").orderBy("bucket")
+    line, higher = F.col("above.line_no"), F.lag("above.line_no").over(up_down)
+    stray = line.isNull() | (higher.isNotNull() & (line <= higher))
+    second_root = (F.col("bucket") == 0) & (F.col("above.taxid") != ROOT_TAXID)
+    message = F.format_string(
+        "report line %d of sample %s has no parent line", F.col("line_no"), F.col("sample")
+    )
+    ancestor = F.when(
+        F.col("stray") | F.coalesce("second_root", F.lit(False)), F.raise_error(message).cast("int")
+    ).otherwise(F.col("above.taxid"))
+    return (
+        found.withColumn("stray", stray)
+        .withColumn("second_root", second_root)
+        .select(
+            "sample",
+            ancestor.alias("ancestor"),
+            F.col("taxid").alias("descendant"),
+            (F.col("depth") - F.col("bucket")).alias("distance"),
+            F.col("bucket").alias("ancestor_depth"),
+            F.col("above.tax_rank").alias("ancestor_rank"),
+            "line_no",
+            "level_num",
+            "tax_rank",
+        )
     )
 
 

@@ -11,6 +11,7 @@ from readsift.operators import coverage as cov
 from readsift.operators import verdict as vd
 from readsift.operators.dims import contig_offsets, contig_taxonomy, genomes_hit
 from readsift.session import stage
+from readsift.sinks.writers import write_table
 
 
 # Columns that choose and place the first row of a read.
@@ -81,3 +82,11 @@ class Evaluation:
 
     def unplaced(self) -> DataFrame:
         return al.placement_summary(self.placed)
+
+    def write(self, path: str, mode: str = "overwrite") -> None:
+        """The refined, uniqued and species tables, one folder per sample each."""
+        tables = {"refined": self.refined(), "uniqued": self.uniqued(), "species": self.species()}
+        for name, df in tables.items():
+            # Tables of genera: a sample has few rows, and they belong in one file.
+            out = df.drop("line_no").repartition("sample")
+            write_table(out, f"{path.rstrip('/')}/{name}", mode, partition_by=["sample"])

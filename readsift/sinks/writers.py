@@ -54,22 +54,31 @@ def write_reads(
 
 
 def write_table(
-    df: DataFrame, path: str, mode: str = "overwrite", headers: dict[str, str] | None = None
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    headers: dict[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Tab-separated table with a header; strings quoted, NULL as NA.
 
-    Columns get the header names users of the written tables know.
+    Columns get the header names users of the written tables know. Columns in
+    ``partition_by`` go into folder names, such as one folder per sample.
     """
     names = TABLE_HEADERS if headers is None else headers
     cols = []
     for f in df.schema.fields:
         col = F.col(f.name)
+        if f.name in partition_by:
+            cols.append(col)
+            continue
         if isinstance(f.dataType, StringType):
             col = F.concat(F.lit('"'), F.replace(col, F.lit('"'), F.lit('\\"')), F.lit('"'))
         cols.append(col.alias(f'"{names.get(f.name, f.name)}"'))
-    df.select(*cols).write.mode(mode).csv(
-        path, sep="\t", header=True, quote="\0", nullValue="NA", escapeQuotes=False
-    )
+    writer = df.select(*cols).write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path, sep="\t", header=True, quote="\0", nullValue="NA", escapeQuotes=False)
 
 
 def write_taxon_list(taxa: DataFrame, path: str, mode: str = "overwrite") -> None:

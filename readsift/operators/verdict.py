@@ -48,10 +48,10 @@ def taxonomy_verdict(
     Counts primary rows whose contig's genus is, or is not, the reported one. Genera with
     at most ``min_alignments`` rows, unnamed ones included, get no verdict.
     """
-    named = genera.select(*GENUS, F.col("name").alias("kraken_name"))
+    named = genera.select(*GENUS, F.col("name").alias("reported_name"))
     counted = hits.where(F.col("primary") > 0).select(*GENUS, "primary", "name")
     joined = dimension_join(counted, named, GENUS)
-    same = F.col("kraken_name") == first_word(F.col("name"))
+    same = F.col("reported_name") == first_word(F.col("name"))
     totals = joined.groupBy(*GENUS).agg(
         F.sum("primary").alias("alignments"),
         F.coalesce(F.sum(F.when(same, F.col("primary"))), F.lit(0)).alias("same"),

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text worked on at once; a longer single text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 400_000
 
 _RNG = np.random.default_rng(20240229)
 _CODES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

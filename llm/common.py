@@ -66,17 +66,7 @@ class BitFilter:
         wanted = max(1 << 16, keys.count() * _FILTER_BITS_PER_KEY)
         self.bits = min(max_bits, 1 << (wanted - 1).bit_length())
         place = F.pmod(F.col(column), F.lit(self.bits))
-        rows = (
-            keys.select(
-                F.shiftright(place, 6).alias("word"),
-                F.expr(f"shiftleft(1L, cast(pmod({column}, 64L) as int))").alias("bit"),
-            )
-            .groupBy("word")
-            .agg(F.bit_or("bit").alias("bits"))
-            .toArrow()
-        )
-        table = np.zeros(self.bits // 64, np.uint64)
-        table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+        table = bit_table(keys.select(place.alias("place")), self.bits)
         self._shared = spark.sparkContext.broadcast(table)
 
     def contains(self, keys: np.ndarray) -> np.ndarray:
@@ -94,6 +84,22 @@ class BitFilter:
         return maybe(key)
 
 
+def bit_table(places: DataFrame, bits: int) -> np.ndarray:
+    """The set bits at ``place``, 64 to a word. Only words reach the driver: ``bits`` / 4 bytes."""
+    rows = (
+        places.select(
+            F.shiftright("place", 6).alias("word"),
+            F.expr("shiftleft(1L, cast(place & 63L as int))").alias("bit"),
+        )
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    table = np.zeros(bits // 64, np.uint64)
+    table[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return table
+
+
 def test_bits(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     place = keys.astype(np.int64, copy=False).view(np.uint64) & np.uint64(len(table) * 64 - 1)
     word = table[(place >> np.uint64(6)).astype(np.int64)]

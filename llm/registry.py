@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
-from llm import substring_dedup, suffix_dedup
+from llm import (
+    bpe,
+    chat_format,
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    minhash_dedup,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 _MODULES = {
+    "op1_decontaminate": decontaminate,
     "op2_substring_dedup": substring_dedup,
+    "op3_exact_dedup": exact_dedup,
+    "op4_chat_format": chat_format,
+    "op5_minhash_dedup": minhash_dedup,
+    "op6_bpe": bpe,
     "op7_suffix_dedup": suffix_dedup,
+    "op8_license_scan": license_scan,
+    "op9_toxicity": toxicity,
+    "op10_token_counts": token_counts,
 }
 
 

@@ -30,10 +30,10 @@ NODE = 8
 def _cut(batches):
     for batch in batches:
         first_span, span_start, span_end = range_arrays(batch.column("spans"))
-        n_words, n_removed, kept = [], [], []
         for lo, hi, data, offsets in arrays.blocks(batch.column("text")):
             start, end, first = arrays.words(data, offsets, arrays.NOT_SPACE)
             raw = data.tobytes()
+            n_words, n_removed, kept = np.diff(first), [], []
             for i in range(lo, hi):
                 f, t = first[i - lo], first[i - lo + 1]
                 p, q = first_span[i], first_span[i + 1]
@@ -42,14 +42,13 @@ def _cut(batches):
                 text = b" ".join(
                     [raw[x:y] for x, y in zip(start[keep].tolist(), end[keep].tolist(), strict=True)]
                 )
-                n_words.append(int(t - f))
                 n_removed.append(int(gone.sum()))
                 kept.append(text.decode())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())]
-            + [pa.array(kept, pa.string())],
-            ["doc_id", "n_words", "n_removed", "kept_text"],
-        )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc").slice(lo, hi - lo), pa.array(n_words.astype(np.int64))]
+                + [pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+                ["doc_id", "n_words", "n_removed", "kept_text"],
+            )
 
 
 def remove_repeated_words(

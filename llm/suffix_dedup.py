@@ -30,21 +30,21 @@ TRIGGER = 32
 def _cut(batches):
     for batch in batches:
         first_span, span_start, span_end = range_arrays(batch.column("spans"))
-        n_bytes, n_removed, n_spans, kept = [], [], [], []
         for lo, hi, data, offsets in arrays.blocks(batch.column("text")):
+            n_removed, n_spans, kept = [], [], []
             for i in range(lo, hi):
                 body = data[offsets[i - lo] : offsets[i - lo + 1]]
                 p, q = first_span[i], first_span[i + 1]
                 gone = arrays.covered(len(body), span_start[p:q], span_end[p:q])
-                n_bytes.append(len(body))
                 n_removed.append(int(gone.sum()))
                 n_spans.append(int((gone[1:] & ~gone[:-1]).sum()) + int(gone[:1].sum()))
                 kept.append(body[~gone].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), *(pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans))]
-            + [pa.array(kept, pa.binary())],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
-        )
+            numbers = (np.diff(offsets), n_removed, n_spans)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc").slice(lo, hi - lo), *(pa.array(x, pa.int64()) for x in numbers)]
+                + [pa.array(kept, pa.binary())],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
+            )
 
 
 def remove_repeated_bytes(

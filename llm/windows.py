@@ -49,7 +49,7 @@ class Kind:
     gram: int
     words: bool
     within: bool
-    flush: int = 1_000_000
+    flush: int = 400_000
     local: int = 16_384
 
     @property

@@ -3,8 +3,8 @@
 P(grade >= k) = sigmoid(w.x - t_k): all thresholds share the weights ``w`` over sparse text
 features, and t_1 <= t_2 <= ... . Expected severity is the sum of these probabilities over k.
 
-Features are the distinct folded words of a text and their first ``PREFIX`` bytes, as 64-bit hashes, so
-inflected forms of a word share one. Only features whose rate of toxic documents is beyond
+Features are the distinct folded words of a text and their first bytes (``PREFIXES``), as 64-bit
+hashes, so inflected forms of a word share one. Only features whose rate of toxic documents is beyond
 chance (``Z`` standard deviations, ``MIN_DF`` documents) get a weight: a very long clean text
 gathers no score from the many common words it has.
 
@@ -33,7 +33,7 @@ from llm.common import rows_of, text_column
 
 SAMPLE = 10_000
 MAX_CHARS = 8_000
-PREFIX = 5
+PREFIXES = (4, 5)
 MIN_DF = 5
 Z = 6.0
 #: A document is rejected if a grade of at least one is more likely than not.
@@ -63,9 +63,12 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     start, end, first = arrays.words(folded, offsets, arrays.ALNUM)
     hasher = arrays.Hasher(folded)
     whole = hasher.spans(start, end)
-    short = arrays.mix(hasher.spans(start, np.minimum(end, start + PREFIX)) + np.uint64(7))
+    keys = [whole]
+    for n in PREFIXES:
+        short = hasher.spans(start, np.minimum(end, start + n))
+        keys.append(arrays.mix(short + np.uint64(n)))
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    return np.concatenate([whole, short]), np.concatenate([text, text])
+    return np.concatenate(keys), np.tile(text, len(keys))
 
 
 def _sampled(batches):

@@ -227,8 +227,9 @@ class _Common:
         rows = rows.take(pa.array(order))
         self.hash = rows.column("hash").to_numpy().view(np.uint64).copy()
         raw = [x or b"" for x in rows.column("ids").to_pylist()]
-        self.first = np.concatenate([[0], np.cumsum([len(x) // 4 for x in raw])]).astype(np.int64)
-        self.ids = np.frombuffer(b"".join(raw), "<u4").copy()
+        ends = np.cumsum([len(x) // 4 for x in raw or [b""]])
+        self.first = np.concatenate([[0], ends]).astype(np.int64)
+        self.ids = np.frombuffer(b"".join(raw) or bytes(4), "<u4").copy()
 
 
 def _fill(path: str, shared):
@@ -241,9 +242,9 @@ def _fill(path: str, shared):
                 cut = _Cut(data, offsets, special)
                 at = np.minimum(np.searchsorted(table.hash, cut.hash), max(0, len(table.hash) - 1))
                 known = table.hash[at] == cut.hash if len(table.hash) else np.zeros(len(at), bool)
-                size = np.where(known, table.first[at + 1] - table.first[at], 1) if len(at) else at
+                size = np.where(known, table.first[at + 1] - table.first[at], 1)
                 place, owner = arrays.expand(np.where(known, table.first[at], 0), size)
-                ids = np.where(known[owner], table.ids[place] if len(table.ids) else 0, 0)
+                ids = np.where(known[owner], table.ids[place], 0)
                 end = np.concatenate([[0], np.cumsum(size)])
                 text_end = end[cut.first]
                 hole = np.flatnonzero(~known)

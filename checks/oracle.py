@@ -109,23 +109,33 @@ select *, concat('<i style=''color:', coalesce(tick_color, 'NA'), '''>', name, '
     "o_species": """
 select s.*, n.name as genera from
  (select sample, kraken_genus_taxid, name, count(*) as n from o_annotated
-  where kraken_genus_taxid in (select kraken_genus_taxid from o_refined where tick_color = 'darkgreen') group by all) s
+  where (sample, kraken_genus_taxid) in (select sample, kraken_genus_taxid from o_refined where tick_color = 'darkgreen')
+  group by all) s
 left join fx_nodes n on cast(n.id as varchar) = s.kraken_genus_taxid
 qualify rank() over (partition by s.sample, s.kraken_genus_taxid order by s.n desc) <= 15""",
     # tree: parents are part of the stand-in taxonomy, so no pre-order logic is needed here
-    "o_tree": """
+    "o_database": """
 select taxid as descendant, taxid as ancestor, level_num as depth from fx_taxa
 union all select taxid, parent_taxid, level_num - 1 from fx_taxa where parent_taxid > 0
 union all select t.taxid, p.parent_taxid, t.level_num - 2 from fx_taxa t join fx_taxa p on p.taxid = t.parent_taxid
   where p.parent_taxid > 0
 union all select t.taxid, 1, 0 from fx_taxa t where t.level_num = 3""",
+    "o_tree": """
+select r.sample, d.descendant, d.ancestor, d.depth from o_database d join fx_report r on r.taxid = d.descendant""",
+    "o_samples": "select distinct sample from fx_assignments",
     "o_wanted": f"select unnest([{_TAXIDS}]) as target",
     "o_children": """
-select descendant as taxid from o_tree join o_wanted on ancestor = target union select target from o_wanted""",
+select sample, descendant as taxid from o_tree join o_wanted on ancestor = target
+union select sample, target from o_wanted, o_samples""",
     "o_family": """
-select taxid from o_children union select ancestor from o_tree join o_wanted on descendant = target""",
-    "o_ids": "select distinct read_id from fx_assignments where taxid in (select taxid from o_children)",
-    "o_targets": "select taxid from fx_report where tax_rank = 'G' and taxid <> 9605",
+select sample, taxid from o_children union select sample, ancestor from o_tree join o_wanted on descendant = target""",
+    "o_ids": """
+select distinct sample, read_id from fx_assignments where (sample, taxid) in (select sample, taxid from o_children)""",
+    "o_targets": "select sample, taxid from fx_report where tax_rank = 'G' and taxid <> 9605",
+    "o_genus_ids": """
+select distinct a.sample, a.read_id, t.ancestor as target from fx_assignments a
+join o_tree t on t.sample = a.sample and t.descendant = a.taxid
+join o_targets g on g.sample = t.sample and g.taxid = t.ancestor""",
     "o_species_kmers": f"""
 select distinct k.kmer, g.id as taxid from
  (select genome, least(f, reverse(translate(f, 'ACGT', 'TGCA'))) as kmer from
@@ -134,7 +144,7 @@ select distinct k.kmer, g.id as taxid from
 join fx_genomes g using (genome)""",
     "o_shared": """
 select k.kmer, t.ancestor, t.depth, count(*) as covered, any_value(n.taxa) as taxa
-from o_species_kmers k join o_tree t on t.descendant = k.taxid
+from o_species_kmers k join o_database t on t.descendant = k.taxid
 join (select kmer, count(*) as taxa from o_species_kmers group by kmer) n on n.kmer = k.kmer
 group by k.kmer, t.ancestor, t.depth""",
     "o_index": """
@@ -149,15 +159,15 @@ select r.sample, r.id, r.kmer, x.taxid from o_read_kmers r left join o_index x o
     "o_own": "select sample, id, taxid, count(*) as hits from o_found where taxid is not null group by all",
     "o_clades": """
 select o.sample, o.id, t.ancestor, t.depth, sum(o.hits) as clade
-from o_own o join o_tree t on t.descendant = o.taxid group by all""",
+from o_own o join o_database t on t.descendant = o.taxid group by all""",
     "o_scores": """
 select o.sample, o.id, o.taxid, sum(a.hits) as score
-from o_own o join o_tree t on t.descendant = o.taxid
+from o_own o join o_database t on t.descendant = o.taxid
 join o_own a on a.sample = o.sample and a.id = o.id and a.taxid = t.ancestor group by all""",
     "o_ties": """
 select * from o_scores qualify score = max(score) over (partition by sample, id)""",
     "o_common": """
-select x.sample, x.id, t.ancestor from o_ties x join o_tree t on t.descendant = x.taxid
+select x.sample, x.id, t.ancestor from o_ties x join o_database t on t.descendant = x.taxid
 join (select sample, id, count(*) as n from o_ties group by all) c on c.sample = x.sample and c.id = x.id
 group by x.sample, x.id, t.ancestor having count(*) = any_value(c.n)""",
     "o_calls": """
@@ -173,33 +183,38 @@ from o_valid v left join o_calls c on c.sample = v.sample and c.id = v.id""",
 
 _READS_BY_ID = f"""
 select sample, id, seq from fx_reads
-where id in (select read_id from {{ids}}) or {_BASE} in (select read_id from {{ids}})"""
+where (sample, id) in (select sample, read_id from {{ids}})
+   or (sample, {_BASE}) in (select sample, read_id from {{ids}})"""
 
 _EVENT_COUNTS = f"""
 select entity, grp, cast(floor(position / {EVENT_WIDTH}) as bigint) + 1 as "window", count(*) as reads
 from fx_event_points group by all"""
 
 SQL: dict[str, str] = {
-    "read_sequences": "select id, concat(id, ' read of reads') as description, seq from fx_reads",
-    "read_fastq": "select id, concat(id, ' x') as description, seq, repeat('@', length(seq)) as qual from fx_reads",
+    "read_sequences": """
+select sample, mate, id, concat(id, ' read of ', sample) as description, seq from fx_mates""",
+    "read_fastq": """
+select sample, id, concat(id, ' x') as description, seq, repeat('@', length(seq)) as qual from fx_reads""",
     "read_genomes": "select accession as id, concat(accession, ' contig of ', genome) as description, seq from fx_contig_seq",
-    "read_assignments": "select status, read_id, taxid, '32' as length, '0:1' as hits from fx_assignments",
-    "report_levels": "select taxid, level_num, tax_rank from fx_report",
+    "read_assignments": "select sample, status, read_id, taxid, '32' as length, '0:1' as hits from fx_assignments",
+    "report_levels": "select sample, taxid, level_num, tax_rank from fx_report",
     "report_table": """
-select cast(1.0 as double) as percentage, clade_reads, taxon_reads, n_kmers, n_unique_kmers, tax_rank, taxid, name
+select sample, cast(1.0 as double) as percentage, clade_reads, taxon_reads, n_kmers, n_unique_kmers, tax_rank, taxid, name
 from fx_report""",
     "read_alignments": """
 select sample, read, flag, accession, start_position, cast(44 as int) as mapq, '32M' as cigar, kraken_genus_taxid
 from o_mapped""",
-    "read_dimension": "select accession, genome, contig_length from fx_contigs",
-    "read_taxon_list": "select taxid from o_targets",
+    "read_dimension": "select accession, genome, contig_length, contig_no from fx_contigs",
+    "contig_offsets_from_files": "select * from o_offsets",
+    "read_taxon_list": "select * from o_targets",
     "list_samples": "select distinct sample from fx_alignments",
     "contig_lengths": "select accession, length(seq) as contig_length from fx_contig_seq",
     "contig_headers": """
 select path, header, regexp_replace(header, '[:>]+', chr(9), 'g') as fields from fx_headers""",
     "contig_genome": """
 select split_part(header, ' ', 1) as accession,
-       split_part(replace(path, '/db/', ''), '_ASM', 1) as genome from fx_headers""",
+       split_part(split_part(split_part(split_part(split_part(split_part(replace(path, '/db/', ''),
+         '.fna', 1), '_genomic', 1), '_ASM', 1), '_Viral', 1), '_Genome', 1), '_GRCh38', 1) as genome from fx_headers""",
     "read_lengths": "select id as description, length(seq) as length from fx_reads",
     "contig_taxonomy": "select * from o_taxonomy",
     "contig_offsets": "select * from o_offsets",
@@ -214,41 +229,48 @@ select c.accession, c.genome, p.sample, p.kraken_genus_taxid from fx_contigs c
 left join o_pairs p on p.genome is not distinct from c.genome""",
     "first_alignment": "select * from o_first",
     "report_edges": """
-select 'reads' as sample, taxid, case when parent_taxid > 0 then parent_taxid end as parent_taxid, level_num, line_no
-from fx_taxa where taxid in (select taxid from fx_report)""",
-    "level_ids": "select sample, taxid, level_num, tax_rank as level_id from fx_report",
+select r.sample, t.taxid, case when t.parent_taxid > 0 then t.parent_taxid end as parent_taxid, t.level_num, t.line_no
+from fx_taxa t join fx_report r on r.taxid = t.taxid""",
+    "level_ids": """
+select sample, taxid, level_num, case when taxid in (3, 4) then 'D1' else tax_rank end as level_id from fx_report""",
     "ancestors": """
-select 'reads' as sample, target, ancestor as taxid from o_tree join o_wanted on descendant = target
-union select 'reads', target, target from o_wanted""",
+select sample, target, ancestor as taxid from o_tree join o_wanted on descendant = target
+union select sample, target, target from o_wanted, o_samples""",
     "descendants": """
-select 'reads' as sample, target, descendant as taxid from o_tree join o_wanted on ancestor = target
-union select 'reads', target, target from o_wanted""",
+select sample, target, descendant as taxid from o_tree join o_wanted on ancestor = target
+union select sample, target, target from o_wanted, o_samples""",
     "extract_reads": _READS_BY_ID.format(ids="o_ids"),
     "extract_parents": _READS_BY_ID.format(
-        ids="(select read_id from fx_assignments where taxid in (select taxid from o_family))"
+        ids="(select sample, read_id from fx_assignments where (sample, taxid) in (select sample, taxid from o_family))"
     ),
     "extract_exclude": _READS_BY_ID.format(
-        ids="(select read_id from fx_assignments where taxid not in (select taxid from o_children))"
+        ids="(select sample, read_id from fx_assignments where (sample, taxid) not in (select sample, taxid from o_children))"
     ),
     "extract_max": _READS_BY_ID.format(
-        ids=f"""(select read_id from fx_assignments where taxid in (select taxid from o_children)
-                 group by read_id order by min(line_no) limit {MAX_READS})"""
+        ids=f"""(select sample, read_id from fx_assignments where (sample, taxid) in (select sample, taxid from o_children)
+                 group by sample, read_id
+                 qualify row_number() over (partition by sample order by min(line_no)) <= {MAX_READS})"""
     ),
     "extract_paired": f"""
 select sample, mate, id, seq from fx_mates
-where id in (select read_id from o_ids) or {_BASE} in (select read_id from o_ids)""",
+where (sample, id) in (select sample, read_id from o_ids) or (sample, {_BASE}) in (select sample, read_id from o_ids)""",
+    "extract_paired_files": f"""
+select sample, mate, id, seq from fx_mates
+where (sample, id) in (select sample, read_id from o_ids) or (sample, {_BASE}) in (select sample, read_id from o_ids)""",
     "extract_all_genera": f"""
-select distinct t.ancestor as target, r.sample, r.id, r.seq
-from fx_assignments a join o_tree t on t.descendant = a.taxid
-join o_targets g on g.taxid = t.ancestor
-join fx_reads r on a.read_id = r.id or a.read_id = {_BASE}""".replace(
-        "a.read_id = r.id or a.read_id = " + _BASE, f"a.read_id = {_BASE}"
-    ),
+select a.target, r.sample, r.id, r.seq from fx_reads r
+join o_genus_ids a on a.sample = r.sample and a.read_id = r.id
+union select a.target, r.sample, r.id, r.seq from (select *, {_BASE} as base from fx_reads) r
+join o_genus_ids a on a.sample = r.sample and a.read_id = r.base""",
     "taxon_counts": """
-select sample, taxid, count(*) as n from fx_assignments where taxid in (select taxid from o_children) group by all""",
+select sample, taxid, count(*) as n from fx_assignments
+where (sample, taxid) in (select sample, taxid from o_children) group by all""",
     "extract_summary": f"""
-select 'reads' as sample, (select count(*) from o_children) as taxids, (select count(*) from fx_assignments) as assignments,
-       (select count(*) from o_ids) as ids, (select count(*) from ({_READS_BY_ID.format(ids="o_ids")})) as reads""",
+select sample, (select count(*) from o_children c where c.sample = s.sample) as taxids,
+       (select count(*) from fx_assignments a where a.sample = s.sample) as assignments,
+       (select count(*) from o_ids i where i.sample = s.sample) as ids,
+       (select count(*) from ({_READS_BY_ID.format(ids="o_ids")}) r where r.sample = s.sample) as reads
+from o_samples s""",
     "place_reads": "select * from o_placed",
     "window_counts": "select * from o_counts",
     "genome_sizes": "select * from o_sizes",
@@ -256,11 +278,9 @@ select 'reads' as sample, (select count(*) from o_children) as taxids, (select c
     "best_genome": "select * from o_best",
     "coverage_verdict": "select * from o_coverage",
     "coverage_profile": """
-select w.*, n.name from o_windows w
+select w.sample, w.genome, w.kraken_genus_taxid, w."window", w.reads, n.name from o_windows w
 join o_coverage c using (sample, genome, kraken_genus_taxid)
-left join fx_nodes n on cast(n.id as varchar) = w.kraken_genus_taxid""".replace(
-        "select w.*, n.name", 'select w.sample, w.genome, w.kraken_genus_taxid, w."window", w.reads, n.name'
-    ),
+left join fx_nodes n on cast(n.id as varchar) = w.kraken_genus_taxid""",
     "event_window_counts": _EVENT_COUNTS,
     "event_coverage_verdict": f"""
 select *, {LADDER_SQL} as indicator from
@@ -273,6 +293,7 @@ select g.grp, g."window", coalesce(c.reads, 0) as reads from
   from fx_event_points group by grp) g
 left join (select grp, cast(floor(position / {EVENT_WIDTH}) as bigint) + 1 as "window", count(*) as reads
            from fx_event_points group by all) c on c.grp = g.grp and c."window" = g."window\"""",
+    "write_table": "select sample, kraken_genus_taxid, name, n, genera from o_species",
     "taxonomy_verdict": "select * from o_taxverdict",
     "refine_report": "select * from o_refined",
     "unique_kmer_verdict": "select * from o_uniqued",
@@ -283,8 +304,8 @@ select 'original' as panel, sample, kraken_genus_taxid, name, clade_reads, 'blac
 union all select 'refined', sample, kraken_genus_taxid, name, clade_reads, tick_color, tick_name from o_refined
 union all select 'unique', sample, kraken_genus_taxid, name, clade_reads, tick_color, tick_name from o_uniqued""",
     "clade_report": """
-select sample, taxid, clade_reads, taxon_reads,
-       100.0::double * clade_reads / (select count(*) from fx_assignments) as percentage from fx_report""",
+select r.sample, r.taxid, r.clade_reads, r.taxon_reads, 100.0::double * r.clade_reads / t.n as percentage
+from fx_report r join (select sample, count(*) as n from fx_assignments group by sample) t on t.sample = r.sample""",
     "kmer_index": "select kmer, taxid from o_index",
     "classify_reads": "select * from o_classified",
     "clade_report_kmers": """
@@ -292,9 +313,9 @@ select r.sample, r.taxid, r.clade_reads, r.taxon_reads, coalesce(k.n_kmers, 0) a
        coalesce(k.n_unique_kmers, 0) as n_unique_kmers
 from (select c.sample, t.ancestor as taxid, count(*) as clade_reads,
              count(*) filter (where t.ancestor = c.taxid) as taxon_reads
-      from o_classified c join o_tree t on t.descendant = c.taxid group by all) r
+      from o_classified c join o_database t on t.descendant = c.taxid group by all) r
 left join (select f.sample, t.ancestor as taxid, count(*) as n_kmers, count(distinct f.kmer) as n_unique_kmers
-           from o_found f join o_tree t on t.descendant = f.taxid group by all) k
+           from o_found f join o_database t on t.descendant = f.taxid group by all) k
   on k.sample = r.sample and k.taxid = r.taxid""",
 }
 

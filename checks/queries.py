@@ -25,7 +25,9 @@ TAXIDS = [103, 1014, 1025, 99999]
 MAX_READS = 1000
 EVENT_KEYS = ["entity", "grp"]
 EVENT_WIDTH = 60
-K = 15
+K = 31
+SAMPLE_FOLDER = r"sample=([^/]+)/"
+MATE_FOLDER = r"sample=([^/]+)/mate=(\d)/"
 
 
 class Standins:
@@ -61,12 +63,8 @@ class Standins:
     def closure(self):
         return stage(taxonomy.taxon_closure(self.report), "closure")
 
-    @property
-    def taxa_tree(self):
-        return self.taxa.withColumn("sample", F.expr(f"substring(concat('{fx.SAMPLE}', taxid), 1, 5)"))
-
     def classifier(self) -> Classifier:
-        return Classifier(self.contig_seq, self.taxonomy, self.taxa_tree, K)
+        return Classifier(self.contig_seq, self.taxonomy, self.taxa, K)
 
     def evaluation(self) -> Evaluation:
         return Evaluation(
@@ -80,10 +78,10 @@ class Standins:
         write(df, path)
         return path
 
-    def staged_lines(self, name: str, lines: DataFrame) -> DataFrame:
-        """Lines written as text files and read back, with the stand-in's sample."""
-        path = self.staged(name, lines, lambda df, p: df.write.text(p))
-        return text.read_lines(self.spark, path).withColumn("sample", F.lit(fx.SAMPLE))
+    def by_sample(self, name: str, lines: DataFrame) -> str:
+        """Lines written as text files below one folder per sample."""
+        lines = lines.select("line", "sample")
+        return self.staged(name, lines, lambda df, p: df.write.partitionBy("sample").text(p))
 
 
 def target_list(s: Standins) -> DataFrame:
@@ -91,18 +89,24 @@ def target_list(s: Standins) -> DataFrame:
 
 
 def read_sequences(s: Standins) -> DataFrame:
-    reads = s.reads.withColumn("description", F.concat("id", F.lit(" read of "), "sample"))
-    path = s.staged("fasta", reads, lambda df, p: writers.write_reads(df, p))
-    return sequences.read_sequences(s.spark, path).select("id", "description", "seq")
+    reads = s.mates.withColumn("description", F.concat("id", F.lit(" read of "), "sample"))
+    path = s.staged(
+        "fasta", reads, lambda df, p: writers.write_reads(df, p, partition_by=["sample", "mate"])
+    )
+    found = sequences.read_sequences(s.spark, path, path_pattern=MATE_FOLDER)
+    return found.select("sample", "mate", "id", "description", "seq")
 
 
 def read_fastq(s: Standins) -> DataFrame:
     reads = s.reads.select(
-        F.concat("id", F.lit(" x")).alias("description"), "seq",
+        "sample", F.concat("id", F.lit(" x")).alias("description"), "seq",
         F.regexp_replace("seq", "[ACGT]", "@").alias("qual"),
     )
-    path = s.staged("fastq", reads, lambda df, p: writers.write_reads(df, p, fmt="fastq"))
-    return sequences.read_sequences(s.spark, path).select("id", "description", "seq", "qual")
+    path = s.staged(
+        "fastq", reads, lambda df, p: writers.write_reads(df, p, fmt="fastq", partition_by=["sample"])
+    )
+    found = sequences.read_sequences(s.spark, path, path_pattern=SAMPLE_FOLDER)
+    return found.select("sample", "id", "description", "seq", "qual")
 
 
 def read_genomes(s: Standins) -> DataFrame:
@@ -119,18 +123,20 @@ def contig_lengths(s: Standins) -> DataFrame:
 
 
 def read_assignments(s: Standins) -> DataFrame:
-    lines = s.staged_lines("assignments", s.assignment_lines.select("line"))
-    return text.parse_assignments(lines).select("status", "read_id", "taxid", "length", "hits")
+    path = s.by_sample("assignments", s.assignment_lines)
+    rows = text.read_assignments(s.spark, path, path_pattern=SAMPLE_FOLDER)
+    return rows.select("sample", "status", "read_id", "taxid", "length", "hits")
 
 
 def report_levels(s: Standins) -> DataFrame:
-    lines = s.staged_lines("report", s.report_lines.select("line"))
-    return text.parse_report_tree(lines).select("taxid", "level_num", "tax_rank")
+    path = s.by_sample("report", s.report_lines)
+    rows = text.read_report_tree(s.spark, path, path_pattern=SAMPLE_FOLDER)
+    return rows.select("sample", "taxid", "level_num", "tax_rank")
 
 
 def report_table(s: Standins) -> DataFrame:
-    lines = s.staged_lines("report", s.report_lines.select("line"))
-    return text.parse_report_table(lines).drop("line_no", "sample")
+    path = s.by_sample("report", s.report_lines)
+    return text.read_report(s.spark, path, path_pattern=SAMPLE_FOLDER).drop("line_no")
 
 
 def read_alignments(s: Standins) -> DataFrame:
@@ -149,13 +155,39 @@ def read_dimension(s: Standins) -> DataFrame:
     return (
         text.read_contig_genomes(s.spark, genomes)
         .join(text.read_contig_lengths(s.spark, lengths), "accession")
-        .select("accession", "genome", "contig_length")
+        .select("accession", "genome", "contig_length", "contig_no")
+    )
+
+
+def contig_offsets_from_files(s: Standins) -> DataFrame:
+    lengths = s.staged("a2l", s.lengths.repartition(5), writers.write_contig_lengths)
+    return dims.contig_offsets(text.read_contig_lengths(s.spark, lengths), s.taxonomy)
+
+
+def extract_paired_files(s: Standins) -> DataFrame:
+    """Two mate files per sample, written, read back and extracted from."""
+    reads = s.mates.withColumn("description", F.col("id"))
+    path = s.staged(
+        "mates", reads, lambda df, p: writers.write_reads(df, p, partition_by=["sample", "mate"])
+    )
+    back = sequences.read_sequences(s.spark, path, path_pattern=MATE_FOLDER)
+    found = Extraction(s.assignments, back, s.report).extract(TAXIDS, children=True)
+    return found.select("sample", "mate", "id", "seq")
+
+
+def write_table(s: Standins) -> DataFrame:
+    """The species table of a run, written with its header and read back."""
+    path = staging_path(s.spark, "tables")
+    s.evaluation().write(path)
+    schema = "kraken_genus_taxid string, name string, n long, genera string, sample string"
+    return s.spark.read.schema(schema).csv(
+        f"{path}/species", sep="\t", header=True, nullValue="NA", escape="\\"
     )
 
 
 def read_taxon_list(s: Standins) -> DataFrame:
     path = s.staged("targets", target_list(s), writers.write_taxon_list)
-    return text.read_taxon_list(s.spark, path).select("taxid")
+    return text.read_taxon_list(s.spark, path, path_pattern=SAMPLE_FOLDER)
 
 
 def list_samples(s: Standins) -> DataFrame:
@@ -234,6 +266,8 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "read_alignments": read_alignments,
     "read_dimension": read_dimension,
     "read_taxon_list": read_taxon_list,
+    "contig_offsets_from_files": contig_offsets_from_files,
+    "write_table": write_table,
     "list_samples": list_samples,
     # dimensions
     "contig_lengths": contig_lengths,
@@ -264,6 +298,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "extract_paired": lambda s: Extraction(s.assignments, s.mates, s.report).extract(
         TAXIDS, children=True
     ),
+    "extract_paired_files": extract_paired_files,
     "extract_all_genera": lambda s: extraction(s).all_genera(),
     "taxon_counts": lambda s: extract.taxon_counts(extraction(s).select(TAXIDS, children=True)),
     "extract_summary": lambda s: extraction(s).summary(TAXIDS, children=True),

@@ -1,8 +1,8 @@
 """Stand-in inputs derived from the star-schema test tables.
 
-There is one sample, of a name computed from the rows: a literal would be folded away and
-plans would no longer show the sample as a key. Each view is one SQL text with the same rows in Spark and in DuckDB. A text names the views
-and tables it reads; ``view_sql`` inlines the views as common table expressions.
+There are four samples, by order key; each has its own taxa, since odd and even taxids never meet in
+one. Each view is one SQL text with the same rows in Spark and in DuckDB. A text names the
+views and tables it reads; ``with_views`` inlines the views as common table expressions.
 """
 
 from __future__ import annotations
@@ -10,23 +10,22 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
-from readsift.operators.joins import plan_bytes
-from readsift.session import spread_scan
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
-SAMPLE = "reads"
-
 VIEWS: dict[str, str] = {
     "fx_contigs": """
 select concat('c', cast(p_partkey as string)) as accession, p_partkey as contig_no,
        concat('g', cast(p_partkey % 50 as string)) as genome,
        case when p_partkey % 50 < 10 then 2000 + (p_partkey * 37) % 5000
             else 20000 + (p_partkey * 7919) % 40000 end as contig_length
-from part""",
+from part
+union all
+select concat('x', cast(s_suppkey as string)), 10000000 + s_suppkey, concat('h', cast(s_suppkey % 7 as string)),
+       1000 + s_suppkey % 100 from supplier""",
     "fx_genomes": """
 select distinct concat('g', cast(p_partkey % 50 as string)) as genome,
        cast(1000 + p_partkey % 50 as int) as id from part""",
@@ -42,10 +41,11 @@ select distinct cast(case when p_partkey % 10 = 9 then 9605 else 100 + p_partkey
     # Depth differs by genome; rows beyond a genome's depth all go to genomes 30, 31 and 41,
     # so each of these holds about a third of all rows.
     "fx_alignments": """
-select substring(concat('reads', cast(b.line_no as string)), 1, 5) as sample, b.read, b.flag, case when b.flag = 4 then '*' else c.accession end as accession,
+select b.sample, b.read, b.flag, case when b.flag = 4 then '*' else c.accession end as accession,
        case when b.flag = 4 then 0 else 1 + b.raw_pos % c.contig_length end as start_position,
        b.kraken_genus_taxid, b.line_no
-from (select concat('r', cast(l_orderkey as string), '.', cast(l_linenumber % 3 as string)) as read,
+from (select concat('s', cast(l_orderkey % 4 as string)) as sample,
+             concat('r', cast(l_orderkey as string), '.', cast(l_linenumber % 3 as string)) as read,
              case when l_returnflag = 'A' then 0 when l_returnflag = 'R' then 16
                   when l_linestatus = 'O' then 256 else 4 end as flag,
              case when surplus then (case when l_partkey < 50 then 50 else l_partkey - l_partkey % 50 end)
@@ -62,14 +62,14 @@ from (select concat('r', cast(l_orderkey as string), '.', cast(l_linenumber % 3
             from lineitem) l) b
 join fx_contigs c on c.contig_no = b.contig_no""",
     "fx_assignments": """
-select substring(concat('reads', cast(o_orderkey as string)), 1, 5) as sample, case when o_orderkey % 11 = 0 then 'U' else 'C' end as status,
-       concat('r', cast(o_orderkey as string)) as read_id,
-       cast(case when o_orderkey % 11 = 0 then 0
+select concat('s', cast(o_orderkey % 4 as string)) as sample, case when o_orderkey % 11 = 0 then 'U' else 'C' end as status,
+       concat('r', cast(o_orderkey as string), case when o_orderkey % 5 = 2 then '/1' else '' end) as read_id,
+       cast(case when o_orderkey % 11 = 0 then 0 when o_orderkey % 17 = 3 then 3 when o_orderkey % 17 = 4 then 4
                  when o_orderkey % 7 = 0 then (case when o_orderkey % 10 = 9 then 9605 else 100 + o_orderkey % 10 end)
                  else 1000 + o_orderkey % 50 end as int) as taxid, o_orderkey as line_no
 from orders""",
     "fx_reads": """
-select substring(concat('reads', cast(o_orderkey as string)), 1, 5) as sample, concat('r', cast(o_orderkey as string), case when o_orderkey % 3 = 0 then '/1' else '' end) as id,
+select concat('s', cast(o_orderkey % 4 as string)) as sample, concat('r', cast(o_orderkey as string), case when o_orderkey % 3 = 0 then '/1' else '' end) as id,
        translate(md5(cast(o_orderkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq from orders""",
     "fx_mates": """
 select sample, 1 as mate, id, seq from fx_reads
@@ -78,6 +78,8 @@ select sample, 2 as mate, replace(id, '/1', '/2') as id, reverse(seq) as seq fro
     "fx_taxa": """
 select 1 as taxid, 0 as parent_taxid, 'R' as tax_rank, 0 as level_num, cast(1 as bigint) as line_no, 'root' as name
 union all select 2, 1, 'D', 1, 2, 'Bacteria'
+union all select 3, 2, '-', 2, 63, 'group'
+union all select 4, 2, 'D1', 2, 64, 'subdomain'
 union all select distinct cast(case when p_partkey % 10 = 9 then 9605 else 100 + p_partkey % 10 end as int), 2, 'G', 2,
        3 + (p_partkey % 10) * 6,
        case when p_partkey % 10 = 9 then 'Homo' else concat('Genus', cast(p_partkey % 10 as string)) end from part
@@ -86,31 +88,32 @@ union all select distinct cast(1000 + p_partkey % 50 as int),
        3 + (p_partkey % 10) * 6 + 1 + cast(floor((p_partkey % 50) / 10.0) as bigint),
        concat('sp', cast(p_partkey % 50 as string)) from part""",
     "fx_taxon_reads": """
-select taxid, count(*) as n from fx_assignments where taxid <> 0 group by taxid""",
+select sample, taxid, count(*) as n from fx_assignments where taxid <> 0 group by sample, taxid""",
     "fx_report": """
-select substring(concat('reads', cast(t.taxid as string)), 1, 5) as sample, t.line_no, t.level_num, t.tax_rank, t.taxid, t.name, c.clade_reads, c.taxon_reads,
+select c.sample, t.line_no, t.level_num, t.tax_rank, t.taxid, t.name, c.clade_reads, c.taxon_reads,
        c.clade_reads * 10 as n_kmers, c.clade_reads * (6 + t.taxid % 5) as n_unique_kmers
 from fx_taxa t
-join (select clade, cast(sum(n) as bigint) as clade_reads,
+join (select sample, clade, cast(sum(n) as bigint) as clade_reads,
              cast(sum(case when taxid = clade then n else 0 end) as bigint) as taxon_reads
-      from (select taxid as clade, taxid, n from fx_taxon_reads
-            union all select 1, taxid, n from fx_taxon_reads
-            union all select 2, taxid, n from fx_taxon_reads
-            union all select case when taxid % 10 = 9 then 9605 else 100 + taxid % 10 end, taxid, n
+      from (select sample, taxid as clade, taxid, n from fx_taxon_reads
+            union all select sample, 1, taxid, n from fx_taxon_reads
+            union all select sample, 2, taxid, n from fx_taxon_reads
+            union all select sample, case when taxid % 10 = 9 then 9605 else 100 + taxid % 10 end, taxid, n
                       from fx_taxon_reads where taxid >= 1000 and taxid <> 9605) u
-      group by clade) c on c.clade = t.taxid""",
+      group by sample, clade) c on c.clade = t.taxid""",
     "fx_headers": """
-select concat('/db/', genome, '.1_ASM', cast(contig_no % 50 as string), 'v1_genomic.fna') as path,
+select concat('/db/', genome, case contig_no % 5 when 0 then '.1_ASM7v1_genomic.fna' when 1 then '_Viral_x.fna'
+              when 2 then '_Genome_1.fna.gz' when 3 then '_GRCh38.p13.fna' else '_genomic.fna' end) as path,
        concat(accession, ' strain x:', cast(contig_no as string)) as header, contig_no from fx_contigs""",
     "fx_assignment_lines": """
 select concat(status, chr(9), read_id, chr(9),
               case when taxid = 0 then 'unclassified' else concat('t', cast(taxid as string)) end,
-              ' (taxid ', cast(taxid as string), ')', chr(9), '32', chr(9), '0:1') as line, line_no
+              ' (taxid ', cast(taxid as string), ')', chr(9), '32', chr(9), '0:1') as line, line_no, sample
 from fx_assignments""",
     "fx_report_lines": """
 select concat('  1.00', chr(9), cast(clade_reads as string), chr(9), cast(taxon_reads as string), chr(9),
               cast(n_kmers as string), chr(9), cast(n_unique_kmers as string), chr(9), tax_rank, chr(9),
-              cast(taxid as string), chr(9), rpad('', 2 * level_num, ' '), name) as line, line_no
+              cast(taxid as string), chr(9), rpad('', 2 * level_num, ' '), name) as line, line_no, sample
 from fx_report""",
     "fx_alignment_lines": """
 select sample, kraken_genus_taxid, line_no,
@@ -123,9 +126,9 @@ select accession, genome, contig_no,
               translate(md5(concat('b', cast(contig_no as string))), '0123456789abcdef', 'ACGTACGTACGTACGT')) as seq
 from fx_contigs""",
     "fx_kmer_reads": """
-select substring(concat('reads', cast(l.l_orderkey as string)), 1, 5) as sample, concat('q', cast(l.l_orderkey as string), '.', cast(l.l_linenumber as string)) as id,
-       case when l.l_orderkey % 13 = 0 then 'NNNNNNNNNNNNNNNNNNNNNNNN'
-            else substring(s.seq, cast(1 + l.l_linenumber * 5 as int), 24) end as seq
+select concat('s', cast(l.l_orderkey % 4 as string)) as sample, concat('q', cast(l.l_orderkey as string), '.', cast(l.l_linenumber as string)) as id,
+       case when l.l_orderkey % 13 = 0 then repeat('N', 40)
+            else substring(s.seq, cast(1 + l.l_linenumber * 3 as int), 40) end as seq
 from lineitem l join fx_contig_seq s on s.accession = concat('c', cast(l.l_partkey as string))""",
     "fx_event_points": """
 select user_id as entity, event_type as grp,
@@ -168,7 +171,6 @@ def load(spark: SparkSession, sf_dir: str, view: str) -> DataFrame:
     for table in TABLES:
         text, n = re.subn(rf"\b(from|join) {table}\b", rf"\1 {{{table}}}", sql)
         if n:
-            scan = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-            sql, used[table] = text, spread_scan(scan, scan.columns[0], plan_bytes(scan))
+            sql, used[table] = text, spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return spark.sql(sql, **used)
 

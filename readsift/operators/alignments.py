@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from readsift.operators.joins import dimension_join
@@ -31,7 +31,7 @@ def primary_only(alignments: DataFrame) -> DataFrame:
 
 def annotate_alignments(alignments: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """Every alignment row with genome, taxon id and taxon name of its contig."""
-    return dimension_join(alignments, taxonomy, ["accession"], spread=["read"])
+    return dimension_join(alignments, taxonomy, ["accession"])
 
 
 def alignment_hits(alignments: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -71,12 +71,14 @@ def first_alignment(alignments: DataFrame) -> DataFrame:
             "accession",
             "start_position",
         ]
-    keys = [F.col(c).alias(f"_{i}") if isinstance(c, str) else c.alias(f"_{i}") for i, c in enumerate(order)]
     rest = [c for c in names if c not in ("sample", "read")]
-    first = F.min(F.struct(*keys, *rest)).alias("first")
-    # The read comes first among the keys: it tells rows apart soonest when Spark sorts.
-    return alignments.groupBy("read", "sample").agg(first).select(
-        "sample", "read", *[F.col(f"first.{c}").alias(c) for c in rest]
+    # One shuffle and one sort: a rank would be limited by a second sort before the shuffle,
+    # which saves little where reads have one or two rows.
+    rows = Window.partitionBy("read", "sample").orderBy(*order, *rest)
+    return (
+        alignments.withColumn("_before", F.lag(F.lit(True)).over(rows))
+        .where(F.col("_before").isNull())
+        .select("sample", "read", *rest)
     )
 
 
@@ -102,7 +104,6 @@ def place_reads(first: DataFrame, places: DataFrame) -> DataFrame:
         first.select("sample", "read", "kraken_genus_taxid", "accession", "start_position"),
         places,
         ["accession", "kraken_genus_taxid", "sample"],
-        spread=["read"],
     ).withColumn("start_genome", F.col("start_position") + F.col("start_pos"))
 
 

@@ -166,4 +166,4 @@ def judged_profile(
     kept_counts = dimension_join(counts, judged, on, how="left_semi", null_safe=["genome"])
     profile = coverage_profile(kept_counts, kept_sizes)
     names = nodes.select(F.col("id").cast("string").alias("kraken_genus_taxid"), "name")
-    return dimension_join(profile, names, ["kraken_genus_taxid"], spread=["window"])
+    return dimension_join(profile, names, ["kraken_genus_taxid"])

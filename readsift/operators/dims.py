@@ -57,11 +57,10 @@ def contig_taxonomy(contig_genomes: DataFrame, genomes: DataFrame, nodes: DataFr
         contig_genomes.select("accession", "genome"),
         genomes.select("genome", "id"),
         ["genome"],
-        spread=["accession"],
         null_safe=["genome"],
     )
     return dimension_join(
-        placed, nodes.select("id", "name"), ["id"], spread=["accession"], null_safe=["id"]
+        placed, nodes.select("id", "name"), ["id"], null_safe=["id"]
     ).select("accession", "genome", "id", "name")
 
 
@@ -70,16 +69,20 @@ def contig_offsets(
     taxonomy: DataFrame,
     order: Sequence[str] = ("contig_no",),
     block: int = BLOCK_ROWS,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
     """Place of every contig when the contigs of its genome are laid end to end.
 
     The first contig starts at 1 and the next one a base after the end of the one
     before. Contigs without a genome form one group. A genome may have any number of
-    contigs: the running sum works by blocks.
+    contigs: the running sum works by blocks. With ``pairs`` only genomes that occur there
+    are laid out.
     """
     placed = dimension_join(
-        lengths, taxonomy.select("accession", "genome"), ["accession"], spread=["contig_length"]
+        lengths, taxonomy.select("accession", "genome"), ["accession"]
     )
+    if pairs is not None:
+        placed = genomes_hit(placed, pairs)
     summed = running_sum(
         placed,
         group=["genome"],
@@ -103,7 +106,7 @@ def genomes_hit(contigs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Contigs of the genomes that occur in ``pairs``; NULL counts as a genome."""
     hit = pairs.select("genome").distinct()
     return dimension_join(
-        contigs, hit, ["genome"], how="left_semi", spread=["accession"], null_safe=["genome"]
+        contigs, hit, ["genome"], how="left_semi", null_safe=["genome"]
     )
 
 
@@ -113,6 +116,5 @@ def pair_contigs(contigs: DataFrame, pairs: DataFrame) -> DataFrame:
         contigs,
         pairs.select("sample", "genome", "kraken_genus_taxid"),
         ["genome"],
-        spread=["accession"],
         null_safe=["genome"],
     )

@@ -11,6 +11,7 @@ from readsift.functions import id_base
 from readsift.operators.joins import dimension_join
 from readsift.operators.prefix import BLOCK_ROWS, running_sum
 from readsift.operators.taxonomy import descendants, expand_taxa
+from readsift.session import stage
 
 
 def select_assignments(
@@ -22,15 +23,20 @@ def select_assignments(
     exclude: bool = False,
 ) -> DataFrame:
     """Assignment rows whose taxid is in the expanded set, or with ``exclude`` is not."""
-    listed = F.col("taxid").isin(list(taxids))
-    if not (children or parents):
-        return assignments.where(~listed if exclude else listed)
-    if closure is None:
-        raise ValueError("including children or parents needs the closure of a report")
-    more = expand_taxa(closure, taxids, children, parents).withColumn("_more", F.lit(True))
-    flagged = dimension_join(assignments, more, ["taxid", "sample"], spread=["read_id"])
-    inside = listed | F.coalesce("_more", F.lit(False))
-    return flagged.where(~inside if exclude else inside).drop("_more")
+    flagged = _flag(assignments, taxids, closure, children, parents, exclude)
+    return flagged.where("_wanted").drop("_wanted")
+
+
+def _flag(assignments, taxids, closure, children, parents, exclude) -> DataFrame:
+    """All assignment rows, ``_wanted`` telling which are selected."""
+    inside = F.col("taxid").isin(list(taxids))
+    if children or parents:
+        if closure is None:
+            raise ValueError("including children or parents needs the closure of a report")
+        more = expand_taxa(closure, taxids, children, parents).withColumn("_more", F.lit(True))
+        assignments = dimension_join(assignments, more, ["taxid", "sample"])
+        inside = inside | F.coalesce("_more", F.lit(False))
+    return assignments.withColumn("_wanted", ~inside if exclude else inside).drop("_more")
 
 
 def first_ids(
@@ -135,7 +141,6 @@ def extract_all(
         wanted,
         ["taxid", "sample"],
         how="inner",
-        spread=["read_id"],
     )
     return match_reads(
         reads, selected.select("sample", "target", "read_id"), target=["target"], anywhere=anywhere
@@ -153,12 +158,20 @@ def extract_summary(
     max_reads: int | None = None,
     anywhere: bool = False,
 ) -> DataFrame:
-    """Per sample: taxa asked for, assignments read, ids kept, reads selected."""
+    """Per sample: taxa asked for, assignments read, ids kept, reads selected.
+
+    Assignments are read once: added up by wanted id, all others to one row per sample and
+    task, and stored for the counts and for the match.
+    """
     taxids = sorted(set(taxids))
-    selected = select_assignments(assignments, taxids, closure, children, parents, exclude)
-    ids = first_ids(selected, max_reads)
+    flagged = _flag(assignments, taxids, closure, children, parents, exclude)
+    counted = flagged.groupBy("sample", F.when(F.col("_wanted"), F.col("read_id")).alias("read_id"))
+    by_id = stage(
+        counted.agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("line_no")), "ids"
+    )
+    ids = first_ids(by_id.where(F.col("read_id").isNotNull()), max_reads)
     found = match_reads(reads, ids, anywhere=anywhere)
-    out = assignments.groupBy("sample").agg(F.count(F.lit(1)).alias("assignments"))
+    out = by_id.groupBy("sample").agg(F.sum("n").alias("assignments"))
     if children or parents:
         more = expand_taxa(closure, taxids, children, parents)
         out = out.join(more.groupBy("sample").agg(F.count(F.lit(1)).alias("_more")), "sample", "left")

@@ -5,26 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-SALTS = 8
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan; None where the session hides it."""
-    plan = getattr(df, "_jdf", None)  # remote sessions have no JVM handle
-    if plan is None:
-        return None
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size rule will broadcast this side."""
-    size = plan_bytes(df)
-    if size is None:
-        return False
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return size <= conf.autoBroadcastJoinThreshold()
 
 
 def key_match(left: DataFrame, right: DataFrame, pairs, null_safe=()) -> Column:
@@ -42,28 +22,15 @@ def dimension_join(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    spread: Sequence[str] | None = None,
     null_safe: Sequence[str] = (),
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Join many ``rows`` with a much smaller ``dim`` on the columns ``on``.
-
-    A dimension within Spark's broadcast threshold is joined as it is. A larger
-    one is shuffled, where a key that holds a large share of the rows would fill
-    one task; so each key is split into ``salts`` parts by a hash of the columns
-    ``spread`` and the dimension is repeated once per part. The salt depends
-    on row values only, so a recomputed task gives the same rows.
+    """Join many ``rows`` with a smaller ``dim`` on the columns ``on``.
 
-    Rows already added up per key need no ``spread``. ``null_safe`` names keys on which
-    NULL matches NULL.
+    One plan at every size: a plain equality join without hints. Adaptive execution sends
+    the dimension to all tasks if the shuffle shows it to be small, and splits partitions
+    of ``rows`` that a hot key makes too large, by their measured size. ``null_safe``
+    names keys on which NULL matches NULL.
     """
-    small = salts <= 1 or not spread or fits_broadcast(dim)
-    keys = list(on)
-    if not small:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys.append("_salt")
-    dim = dim.withColumnsRenamed({k: f"_dim_{k}" for k in keys})
-    cond = key_match(rows, dim, [(k, f"_dim_{k}") for k in keys], null_safe)
-    out = rows.join(dim, cond, how).drop(*[f"_dim_{k}" for k in keys])
-    return out if small else out.drop("_salt")
+    dim = dim.withColumnsRenamed({k: f"_dim_{k}" for k in on})
+    cond = key_match(rows, dim, [(k, f"_dim_{k}") for k in on], null_safe)
+    return rows.join(dim, cond, how).drop(*[f"_dim_{k}" for k in on])

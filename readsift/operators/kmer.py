@@ -6,13 +6,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from readsift.functions.kmers import kmers
-from readsift.operators.joins import SALTS, dimension_join
+from readsift.operators.joins import dimension_join
+from readsift.operators.taxonomy import taxon_closure
+from readsift.session import stage
 
 K = 31
 CONFIDENCE = 0.2
 READ = ["id", "sample"]
 
 
+def database_tree(taxa: DataFrame) -> DataFrame:
+    """The (ancestor, descendant) table of a database's one tree, stored, without a sample.
+
+    ``taxa`` is one report: columns line_no, level_num, tax_rank and taxid. Reports of
+    several samples mixed together, or a taxid on two lines, are an error.
+    """
+    one = taxa.select(F.lit("tree").alias("sample"), "line_no", "level_num", "tax_rank", "taxid")
+    closure = stage(taxon_closure(one).drop("sample"), "closure")
+    twice = closure.groupBy("descendant", "ancestor").agg(F.count("*").alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError("the tree of a database must have each taxid once")
+    return closure
+
+
 def kmer_index(
     contigs: DataFrame, taxonomy: DataFrame, closure: DataFrame, k: int = K
 ) -> DataFrame:
@@ -32,7 +48,6 @@ def kmer_index(
         lines,
         ["id"],
         how="inner",
-        spread=["accession"],
     )
     named = contigs.select("accession", "seq").join(numbered, "accession")
     spans = kmers(named, k, keep=["line"]).groupBy("kmer").agg(
@@ -44,18 +59,18 @@ def kmer_index(
     shared = dimension_join(pairs, above_lo, ["lo"], how="inner")
     common = dimension_join(shared, above_hi, ["hi", "ancestor"], how="inner")
     lca = common.groupBy("lo", "hi").agg(F.max_by("ancestor", "ancestor_depth").alias("taxid"))
-    return dimension_join(spans, lca, ["lo", "hi"], how="inner", spread=["kmer"]).select(
+    return dimension_join(spans, lca, ["lo", "hi"], how="inner").select(
         "kmer", "taxid"
     )
 
 
-def kmer_hits(reads: DataFrame, index: DataFrame, k: int = K, salts: int = SALTS) -> DataFrame:
+def kmer_hits(reads: DataFrame, index: DataFrame, k: int = K) -> DataFrame:
     """Every k-mer of every read with the taxon it stands for, NULL where unknown.
 
     A read without k-mers gives one row with a negative k-mer.
     """
     found = kmers(reads, k, keep=READ, keep_empty=True)
-    return dimension_join(found, index, ["kmer"], spread=READ, salts=salts)
+    return dimension_join(found, index, ["kmer"])
 
 
 def classify_reads(
@@ -64,7 +79,6 @@ def classify_reads(
     closure: DataFrame,
     k: int = K,
     confidence: float = CONFIDENCE,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Taxid and number of valid k-mers of every read; 0 is unclassified.
 
@@ -72,18 +86,19 @@ def classify_reads(
     going to their common ancestor. From there the read moves up until the hits in the
     clade reach ``confidence`` of its valid k-mers.
 
-    k-mer rows are added up to (read, taxon) before the shuffle by read. A read with hits in
-    one taxon only is decided at once: all its clades hold the same hits. The others
-    meet their paths, and windows on the same partitioning score them.
+    k-mer rows are added up to (read, taxon) before the shuffle by read, and stored, so that
+    k-mers are made and joined once. A read with hits in one taxon only is decided at once: all
+    its clades hold the same hits. The others meet their paths, and windows score them.
     """
-    hits = kmer_hits(reads, index, k, salts).groupBy(*READ, "taxid").agg(
+    hits = kmer_hits(reads, index, k).groupBy(*READ, "taxid").agg(
         F.count_if(F.col("kmer") >= 0).alias("hits")
     )
     per_read = Window.partitionBy(*READ)
-    counted = (
+    counted = stage(
         hits.repartition(*READ)
         .withColumn("n_taxa", F.count("taxid").over(per_read))
-        .withColumn("n_kmers", F.sum("hits").over(per_read))
+        .withColumn("n_kmers", F.sum("hits").over(per_read)),
+        "read_hits",
     )
     known = F.when(F.col("taxid").isNotNull(), F.col("hits"))
     one_taxon = (
@@ -100,7 +115,7 @@ def classify_reads(
 def _best_taxon(hits: DataFrame, closure: DataFrame, confidence: float) -> DataFrame:
     """Call of every read from its hits per taxon, by path score, ties and confidence."""
     tree = closure.select("ancestor", "ancestor_depth", F.col("descendant").alias("taxid"))
-    paths = dimension_join(hits, tree, ["taxid"], how="inner", spread=READ)
+    paths = dimension_join(hits, tree, ["taxid"], how="inner")
     own = F.when(F.col("ancestor") == F.col("taxid"), F.col("hits"))
     per_read = Window.partitionBy(*READ)
     per_clade = Window.partitionBy(*READ, "ancestor")
@@ -133,16 +148,17 @@ def clade_report(
     """Reads of every taxon and of its clade, with the percentage of the sample's reads.
 
     With the rows of ``kmer_hits`` also k-mers and distinct k-mers of the clade;
-    ``approximate`` estimates the latter. Rows are added up per taxid before they meet
-    the tree, so no taxid is hot in the join.
+    ``approximate`` estimates the latter. All rows are added up per taxid before they meet
+    the tree, so no taxid is hot in the join. A tree without ``sample`` serves all samples.
     """
     counts = assignments.groupBy("sample", "taxid").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("sample").agg(F.sum("n").alias("total"))
+    on = ["sample", "taxid"] if "sample" in closure.columns else ["taxid"]
     tree = closure.select(
-        "sample", F.col("ancestor").alias("clade"), F.col("descendant").alias("taxid"), "distance"
+        *on[:-1], F.col("ancestor").alias("clade"), F.col("descendant").alias("taxid"), "distance"
     )
     clades = (
-        dimension_join(counts, tree, ["sample", "taxid"], how="inner")
+        dimension_join(counts, tree, on, how="inner")
         .groupBy("sample", "clade")
         .agg(
             F.sum("n").alias("clade_reads"),
@@ -160,13 +176,21 @@ def clade_report(
     )
     if hits is None:
         return out
+    # a k-mer stands for one taxon, so distinct k-mers of a clade are the sum over its taxa
     known = hits.where(F.col("taxid").isNotNull())
-    kmer_counts = known.groupBy("sample", "taxid", "kmer").agg(F.count(F.lit(1)).alias("n"))
-    distinct = F.approx_count_distinct("kmer") if approximate else F.count_distinct("kmer")
+    if approximate:
+        sums = known.groupBy("sample", "taxid").agg(
+            F.count(F.lit(1)).alias("n"), F.approx_count_distinct("kmer").alias("n_unique")
+        )
+    else:
+        each = known.groupBy("sample", "taxid", "kmer").agg(F.count(F.lit(1)).alias("n"))
+        sums = each.groupBy("sample", "taxid").agg(
+            F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique")
+        )
     by_clade = (
-        dimension_join(kmer_counts, tree, ["sample", "taxid"], how="inner", spread=["kmer"])
+        dimension_join(sums, tree, on, how="inner")
         .groupBy("sample", F.col("clade").alias("taxid"))
-        .agg(F.sum("n").alias("n_kmers"), distinct.alias("n_unique_kmers"))
+        .agg(F.sum("n").alias("n_kmers"), F.sum("n_unique").alias("n_unique_kmers"))
     )
     zero = {"n_kmers": 0, "n_unique_kmers": 0}
     return out.join(by_clade, ["sample", "taxid"], "left").fillna(zero)

@@ -31,7 +31,7 @@ def taxon_closure(report: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
         "sample", "line_no", F.col("level_num").cast("int").alias("level_num"), "taxid", "tax_rank"
     )
     roots = rows.groupBy("sample").agg(F.min("level_num").alias("_root"))
-    leveled = dimension_join(rows, roots, ["sample"], spread=["line_no"])
+    leveled = dimension_join(rows, roots, ["sample"])
     depth = F.col("level_num") - F.col("_root")
     spread = leveled.withColumn("depth", depth).withColumn(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("depth")))
@@ -111,7 +111,7 @@ def _wanted(closure: DataFrame, taxids: DataFrame, side: str, other: str) -> Dat
     """Closure rows whose ``side`` is wanted, as (sample, target, taxid of ``other``)."""
     wanted = taxids.select("sample", F.col("taxid").alias("target"))
     pairs = closure.select("sample", F.col(side).alias("target"), F.col(other).alias("taxid"))
-    return dimension_join(pairs, wanted, ["sample", "target"], how="left_semi", spread=["taxid"])
+    return dimension_join(pairs, wanted, ["sample", "target"], how="left_semi")
 
 
 def ancestors(closure: DataFrame, taxids: DataFrame) -> DataFrame:

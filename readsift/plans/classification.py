@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from readsift.operators import kmer
-from readsift.operators.taxonomy import taxon_closure
 from readsift.session import stage
 
 
 class Classifier:
     """k-mer index and tree as stored tables, shared by all reads.
 
-    Stored, their size is known: a small index is broadcast, a large one is shuffled once
-    per run beside the far larger k-mers of the reads.
+    The tree belongs to the database and holds for every sample. Stored, the size of both
+    is known: a small index is broadcast, a large one is shuffled once per run beside the
+    far larger k-mers of the reads.
     """
 
     def __init__(self, contigs: DataFrame, taxonomy: DataFrame, taxa: DataFrame, k: int = kmer.K):
         self.k = k
-        self.closure = stage(taxon_closure(taxa), "closure")
+        self.closure = kmer.database_tree(taxa)
         self.index = stage(kmer.kmer_index(contigs, taxonomy, self.closure, k), "index")
 
     def classify(self, reads: DataFrame, confidence: float = kmer.CONFIDENCE) -> DataFrame:

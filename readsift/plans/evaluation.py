@@ -5,11 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from readsift.operators import alignments as al
 from readsift.operators import coverage as cov
 from readsift.operators import verdict as vd
-from readsift.operators.dims import contig_offsets, contig_taxonomy, genomes_hit
+from readsift.operators.dims import contig_offsets, contig_taxonomy
 from readsift.session import stage
 from readsift.sinks.writers import write_table
 
@@ -20,6 +21,12 @@ PLACED_COLUMNS = (
 ).split()
 
 
+# Written tables of genera begin with these columns.
+FIRST_COLUMNS = (
+    "percentage clade_reads taxon_reads n_kmers n_unique_kmers tax_rank kraken_genus_taxid name"
+).split()
+
+
 @dataclass
 class Inputs:
     """Tables of a run; every one but the dimensions carries ``sample``."""
@@ -51,7 +58,7 @@ class Evaluation:
         taxonomy = contig_taxonomy(inputs.contig_genomes, inputs.genomes, inputs.nodes)
         self.hits = keep(al.alignment_hits(mapped, taxonomy), "hits")
         self.pairs = al.primary_pairs(self.hits)
-        offsets = genomes_hit(contig_offsets(inputs.lengths, taxonomy), self.pairs)
+        offsets = contig_offsets(inputs.lengths, taxonomy, pairs=self.pairs)
         self.offsets = keep(offsets, "offsets")
         places = keep(al.placements(self.hits, self.offsets, self.pairs), "places")
         needed = [c for c in PLACED_COLUMNS if c in mapped.columns]
@@ -84,9 +91,20 @@ class Evaluation:
         return al.placement_summary(self.placed)
 
     def write(self, path: str, mode: str = "overwrite") -> None:
-        """The refined, uniqued and species tables, one folder per sample each."""
-        tables = {"refined": self.refined(), "uniqued": self.uniqued(), "species": self.species()}
-        for name, df in tables.items():
-            # Tables of genera: a sample has few rows, and they belong in one file.
-            out = df.drop("line_no").repartition("sample")
+        """Refined, uniqued and species tables, profile and panels; one folder per sample each.
+
+        Tables of genera: a sample has few rows, and they belong in one file, in order.
+        """
+        tables = {
+            "refined": (self.refined(), ["clade_reads"]),
+            "uniqued": (self.uniqued(), ["clade_reads"]),
+            "species": (self.species(), ["n"]),
+            "panels": (self.groupings(), ["panel", "clade_reads"]),
+            "profile": (self.profile(), ["genome", "kraken_genus_taxid", "window"]),
+        }
+        for name, (df, order) in tables.items():
+            names = [c for c in FIRST_COLUMNS if c in df.columns]
+            rest = [c for c in df.columns if c not in names and c != "line_no"]
+            by = [F.desc(c) if c in ("clade_reads", "n") else F.col(c) for c in order]
+            out = df.select(*names, *rest).repartition("sample").sortWithinPartitions("sample", *by)
             write_table(out, f"{path.rstrip('/')}/{name}", mode, partition_by=["sample"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -44,8 +46,9 @@ def build_session(
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new folder for an intermediate table.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only a local
-    master may go without that setting, since its executors see the local disk.
+    It lies in the shared folder named by ``spark.checkpoint.dir``, below a folder of this
+    application. Only a local master may go without that setting, since its executors see
+    the local disk; the folder made then is removed when Python ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -54,8 +57,10 @@ def staging_path(spark: SparkSession, name: str) -> str:
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_BASES:
             _LOCAL_BASES[app] = tempfile.mkdtemp(prefix="readsift-")
+            atexit.register(shutil.rmtree, _LOCAL_BASES[app], ignore_errors=True)
         base = _LOCAL_BASES[app]
-    return f"{base.rstrip('/')}/readsift/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/readsift/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -70,18 +75,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-SPREAD_BYTES = 1 << 20
-SPLIT_BYTES = 128 << 20
-
-
-def spread_scan(scan: DataFrame, key: str, size: int | None) -> DataFrame:
-    """Repartition a scan too small to give every core a split of usual size.
-
-    A single row group or a gzipped file is one task, whatever the work that follows. At
-    least ``SPREAD_BYTES`` go to a task; a scan with ``SPLIT_BYTES`` per core stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    want = min(cores, (size or 0) // SPREAD_BYTES)
-    if want <= 1 or size >= cores * SPLIT_BYTES:
-        return scan
-    return scan.repartition(want, key)
+def drop_staged(spark: SparkSession) -> None:
+    """Delete all tables this application has staged; results built on them are gone too."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        return
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(
+        f"{base.rstrip('/')}/readsift/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

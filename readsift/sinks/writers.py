@@ -45,6 +45,9 @@ def write_reads(
             ).otherwise(F.col("qual")),
         )
     out = reads.select(read_record(fmt).alias("value"), *partition_by)
+    if partition_by:
+        # a folder's reads meet in few tasks, and adaptive execution splits large folders by size
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode)
     if compression:
         writer = writer.option("compression", compression)
@@ -95,7 +98,7 @@ def write_contig_genomes(contigs: DataFrame, path: str, mode: str = "overwrite")
 
 
 def write_contig_lengths(lengths: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Contig length table without header, in contig order within each part."""
-    lengths.select("accession", "contig_length").write.mode(mode).csv(
+    """Contig length table without header; the contig's number is a third column."""
+    lengths.select("accession", "contig_length", "contig_no").write.mode(mode).csv(
         path, sep="\t", header=False, quote="\0"
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from readsift.functions import first_word
-from readsift.sources.text import line_place, sample_of
+from readsift.sources.text import line_place, path_part, sample_of
 
 RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
@@ -173,6 +175,10 @@ def _to_batch(part: FileRange, lines: list[bytes], offset: int):
     for head, plus in zip(heads[:inside], lines[2 : 4 * inside : 4]):
         if head[:1] != b"@" or plus[:1] != b"+":
             raise ValueError(f"{part.path}: records must have four lines ({head[:40]!r})")
+    uneven = np.flatnonzero(sizes[1 : 4 * inside : 4] != sizes[3 : 4 * inside : 4])
+    for i in uneven.tolist():
+        if len(lines[4 * i + 1].rstrip(b"\r")) != len(lines[4 * i + 3].rstrip(b"\r")):
+            raise ValueError(f"{part.path}: sequence and quality differ in length ({heads[i][:40]!r})")
 
     def text(parts: list[bytes]) -> pa.Array:
         return pa.array([p.rstrip(b"\r").decode() for p in parts], pa.string())
@@ -222,6 +228,11 @@ class FastqSource(DataSource):
         return FastqReader(self.options)
 
 
+def located(path: str) -> str:
+    """The path as given, or made absolute where it is a relative local one."""
+    return path if re.match(r"[a-z][a-z0-9+.-]*:", path) else os.path.abspath(path)
+
+
 def sniff_format(spark: SparkSession, path: str) -> str:
     """FASTA or FASTQ, by the first character of every file.
 
@@ -282,17 +293,29 @@ def read_fastq(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -
 
 
 def read_sequences(
-    spark: SparkSession, path: str, fmt: str | None = None, mate: int = 1
+    spark: SparkSession,
+    path: str,
+    fmt: str | None = None,
+    mate: int = 1,
+    path_pattern: str | None = None,
 ) -> DataFrame:
     """Reads of FASTA or FASTQ files, gzipped or not, with sample and mate.
 
-    Without ``fmt`` the format is found from the first character of the files.
+    Without ``fmt`` the format is found from the first character of the files. The first group
+    of ``path_pattern`` finds the sample in a file's path and the second, if there is one,
+    the mate: ``r"([^/]+)_([12])\\.fastq"`` makes the mate files of a sample its own.
     """
+    path = located(path)
     fmt = fmt or sniff_format(spark, path)
     rows = read_fasta(spark, path) if fmt == "fasta" else read_fastq(spark, path)
+    sample, number = sample_of(F.col("path")), F.lit(mate)
+    if path_pattern:
+        sample = path_part(path_pattern)
+        if re.compile(path_pattern).groups > 1:
+            number = path_part(path_pattern, 2).cast("int")
     return rows.select(
-        sample_of(F.col("path")).alias("sample"),
-        F.lit(mate).alias("mate"),
+        sample.alias("sample"),
+        number.alias("mate"),
         first_word(F.col("description")).alias("id"),
         "description",
         "seq",

@@ -6,7 +6,7 @@ through the same columns; each ``read_`` function takes a path.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readsift.functions import int_or_null, taxid_of
@@ -14,6 +14,8 @@ from readsift.operators.alignments import mapped_only
 
 # Row number inside its partition, in an id from monotonically_increasing_id.
 ROW_BITS = (1 << 33) - 1
+# Bits of a line's place in its file.
+FILE_BITS = 44
 
 # Sample and genus of an alignment file: <sample>/<genus taxid>.sam, or a folder pair
 # written by Spark.
@@ -40,13 +42,26 @@ def line_place() -> list[Column]:
     ]
 
 
-def read_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Lines of all files below a path: sample, path, line_no, line."""
+def path_part(pattern: str, group: int = 1) -> Column:
+    """What a pattern's group finds in column ``path``; a path that does not match is an error."""
+    path = F.col("path")
+    stray = F.raise_error(F.concat(F.lit(f"{pattern!r} does not match "), path)).cast("string")
+    return F.when(path.rlike(pattern), F.regexp_extract(path, pattern, group)).otherwise(stray)
+
+
+def read_lines(
+    spark: SparkSession, path: str, glob: str | None = None, path_pattern: str | None = None
+) -> DataFrame:
+    """Lines of all files below a path: sample, path, line_no, line.
+
+    The sample is the file's base name, or what the first group of ``path_pattern`` finds.
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     rows = reader.text(path).select(F.col("value").alias("line"), *line_place())
-    return rows.withColumn("sample", sample_of(F.col("path")))
+    sample = path_part(path_pattern) if path_pattern else sample_of(F.col("path"))
+    return rows.withColumn("sample", sample)
 
 
 def parse_assignments(lines: DataFrame) -> DataFrame:
@@ -63,8 +78,10 @@ def parse_assignments(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_assignments(spark: SparkSession, path: str) -> DataFrame:
-    return parse_assignments(read_lines(spark, path))
+def read_assignments(
+    spark: SparkSession, path: str, path_pattern: str | None = None
+) -> DataFrame:
+    return parse_assignments(read_lines(spark, path, path_pattern=path_pattern))
 
 
 def parse_report_tree(lines: DataFrame) -> DataFrame:
@@ -109,12 +126,16 @@ def parse_report_table(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_report_tree(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    return parse_report_tree(read_lines(spark, path, glob))
+def read_report_tree(
+    spark: SparkSession, path: str, glob: str | None = None, path_pattern: str | None = None
+) -> DataFrame:
+    return parse_report_tree(read_lines(spark, path, glob, path_pattern))
 
 
-def read_report(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    return parse_report_table(read_lines(spark, path, glob))
+def read_report(
+    spark: SparkSession, path: str, glob: str | None = None, path_pattern: str | None = None
+) -> DataFrame:
+    return parse_report_table(read_lines(spark, path, glob, path_pattern))
 
 
 def parse_alignments(lines: DataFrame) -> DataFrame:
@@ -148,8 +169,8 @@ def read_alignments(
     ``path_pattern`` finds the sample and the genus taxid in a file's path.
     """
     lines = read_lines(spark, path, glob)
-    named = lines.withColumn("sample", F.regexp_extract("path", path_pattern, 1)).withColumn(
-        "kraken_genus_taxid", F.regexp_extract("path", path_pattern, 2)
+    named = lines.withColumn("sample", path_part(path_pattern)).withColumn(
+        "kraken_genus_taxid", path_part(path_pattern, 2)
     )
     return parse_alignments(named)
 
@@ -162,16 +183,26 @@ def read_contig_genomes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_contig_lengths(spark: SparkSession, path: str) -> DataFrame:
-    """Contig length table, without header; further columns are ignored."""
+    """Contig length table, without header.
+
+    A third column is the contig's number; a table without one is numbered by file and line.
+    """
     f = F.split("line", "\t", -1)
-    return read_lines(spark, path).select(
-        f[0].alias("accession"), f[1].cast("long").alias("contig_length"), F.col("line_no").alias("contig_no")
+    rows = read_lines(spark, path)
+    # one row per file: the parts of a table are few
+    files = rows.select("path").distinct()
+    numbered = files.withColumn("_file", F.row_number().over(Window.orderBy("path")) - 1)
+    place = F.shiftleft(F.col("_file").cast("long"), FILE_BITS) + F.col("line_no")
+    return rows.join(numbered, "path").select(
+        f[0].alias("accession"),
+        f[1].cast("long").alias("contig_length"),
+        F.coalesce(F.get(f, F.lit(2)).cast("long"), place).alias("contig_no"),
     )
 
 
-def read_taxon_list(spark: SparkSession, path: str) -> DataFrame:
+def read_taxon_list(spark: SparkSession, path: str, path_pattern: str | None = None) -> DataFrame:
     """One taxid per line."""
-    lines = read_lines(spark, path).where(F.trim("line") != "")
+    lines = read_lines(spark, path, path_pattern=path_pattern).where(F.trim("line") != "")
     return lines.select("sample", F.trim("line").cast("int").alias("taxid"))
 
 
@@ -183,5 +214,5 @@ def list_samples(spark: SparkSession, path: str, path_pattern: str | None = None
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     )
-    name = F.regexp_extract("path", path_pattern, 1) if path_pattern else sample_of(F.col("path"))
+    name = path_part(path_pattern) if path_pattern else sample_of(F.col("path"))
     return files.select(name.alias("sample")).distinct()

@@ -62,7 +62,7 @@ def compare(spark, con, sf_dir, name):
         return f"{len(got)} rows != {len(want)}: {sorted(cols)} {only_got} {only_want}"
     types = {d[0]: str(d[1]) for d in res.description}
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
-    names = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+    names = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
     odd = {c: (kinds[c], t) for c, t in types.items() if names.get(t) != kinds[c]}
     return f"types {odd}" if odd else None
 

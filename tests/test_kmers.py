@@ -79,8 +79,8 @@ def call(hits, valid, confidence):
 
 
 @pytest.mark.parametrize("confidence", [0.0, 0.2, 0.5, 0.9])
-@pytest.mark.parametrize("salts", [1, 3])
-def test_index_and_calls_against_brute_force(spark, table, closure, confidence, salts):
+@pytest.mark.parametrize("broadcast", ["-1", "10485760"])
+def test_index_and_calls_against_brute_force(spark, table, closure, confidence, broadcast):
     k, rng = 4, random.Random(7)
     genomes = {"c1": 100, "c2": 101, "c3": 110, "c4": 100, "c5": 11}
     contigs = {c: "".join(rng.choices("ACGT", k=40)) for c in genomes}
@@ -97,9 +97,9 @@ def test_index_and_calls_against_brute_force(spark, table, closure, confidence,
 
     reads = {f"r{i}": "".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=rng.randrange(1, 25))) for i in range(60)}
     df = table("sample string, id string, seq string", *[("s", i, s) for i, s in reads.items()])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1" if salts > 1 else "10485760")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        calls = kmer.classify_reads(df, index, closure, k, confidence, salts)
+        calls = kmer.classify_reads(df, index, closure, k, confidence)
         got = {r[0]: r[1:] for r in plain(calls, "id", "taxid", "n_kmers")}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")

@@ -12,8 +12,9 @@ Buckets never turn into all their pairs:
    whose buckets are largest, so the centre of a group of copies). Links make components.
 3. Only pairs of a bucket that are still in different components are left. Small buckets
    compare them directly. In a crowded bucket a node that fails the centre has few possible
-   partners: with ``s`` of its shingles held by any other node, an intersection is at most
-   ``s``, which bounds the size of a partner. Nodes meet by bucket and such sizes.
+   partners. Either both hold a shingle that at most ``SMALL`` nodes hold, and they meet by it.
+   Or, with ``s`` of its shingles frequent, the intersection is at most ``s``, which bounds
+   the size of a partner, and they meet by bucket and size.
 
 Candidates must agree in ``AGREE`` of all coordinates (kept as one byte each) before texts move;
 a pair at 0.85 falls short of that with probability 1e-8. Links are confirmed on full
@@ -293,39 +294,53 @@ class _Search:
         )
 
     def _crowded(self, open_: DataFrame, centre: DataFrame, texts: DataFrame) -> DataFrame:
-        """Pairs of different components in crowded buckets, as far as shared shingles allow."""
+        """Pairs of different components in crowded buckets, as far as shared shingles allow.
+
+        A pair either has a shingle in common that few nodes hold, and meets there, or its
+        intersection is at most the number of frequent shingles that either has.
+        """
         many = open_.where(F.col("size") > self.small).select("key", "node", "n", "label")
         many = stage(many, "crowded")
-        here = many.select("node").distinct()
+        middle = centre.select("key", F.col("centre.node").alias("mid"))
+        labelled = many.select(F.col("node").alias("mid"), "key", F.col("label").alias("mid_label"))
+        core = middle.join(labelled, ["key", "mid"]).select("key", "mid_label")
+        here = many.select("node", "label").distinct()
         own = texts.join(here, "node", "left_semi")
-        shared = (
+        counted = stage(
             own.select("text").mapInArrow(_count_shingles(self.size), "shingle long, n long")
-            .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1").select("shingle")
+            .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1"),
+            "shared",
         )
-        held = BitFilter(stage(shared, "shared"), "shingle")
-        bound = stage(own.mapInArrow(_shared_count(self.size, held), "node long, s long"), "bound")
-        known = many.join(bound, "node")
-        middle = centre.select("key", F.col("centre.node").alias("mid"))
-        labelled = many.select(F.col("node").alias("mid"), "key", F.col("label").alias("mid_label"))
-        core = middle.join(labelled, ["key", "mid"])
+        frequent = BitFilter(counted.where(F.col("n") > self.small).select("shingle"), "shingle")
+        few = counted.where(F.col("n") <= self.small).select("shingle")
+        seldom = BitFilter(few, "shingle")
+        schema = "node long, s long, seldom array<long>"
+        bound = stage(own.mapInArrow(_shared_shingles(self.size, frequent, seldom), schema), "bound")
+        known = many.join(bound.select("node", "s"), "node")
+        outside = stage(known.join(core, "key").where("label != mid_label"), "outside")
+
         p = self.percent
         # intersection >= p/(100+p) * (|x|+|y|), and it is at most s(x)
         most = F.floor(F.col("s") * (100 + p) / p).cast("long") - F.col("n")
-        least = F.ceil(F.col("n") * p / 100).cast("long")
-        outside = (
-            known.join(core, "key")
-            .where("label != mid_label")
-            .withColumn("low", least)
+        sizes = (
+            outside.withColumn("low", F.ceil(F.col("n") * p / 100).cast("long"))
             .withColumn("high", F.least(most, F.floor(F.col("n") * 100 / p).cast("long")))
             .where("low <= high")
             .select("key", "node", "n", "label", F.explode(F.sequence("low", "high")).alias("n_b"))
         )
         other = known.select("key", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", "s")])
         need = (F.col("n") + F.col("n_b")) * p <= F.col("s_b") * (100 + p)
-        found = outside.join(other, ["key", "n_b"]).where("label != label_b").where(need)
-        return found.select(
-            F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")
+        by_size = sizes.join(other, ["key", "n_b"]).where("label != label_b").where(need)
+
+        held = (
+            bound.join(here, "node").select("node", "label", F.explode("seldom").alias("shingle"))
+            .join(few, "shingle", "left_semi")
         )
+        left = held.join(outside.select("node").distinct(), "node", "left_semi")
+        right = held.select("shingle", F.col("node").alias("node_b"), F.col("label").alias("label_b"))
+        by_shingle = left.join(right, "shingle").where("label != label_b")
+        a, b = F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")
+        return by_size.select(a, b).unionByName(by_shingle.select(a, b))
 
 
 def _count_shingles(size: int, flush: int = 1_000_000):
@@ -352,14 +367,19 @@ def _counted(sets: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _shared_count(size: int, held: BitFilter):
+def _shared_shingles(size: int, frequent: BitFilter, seldom: BitFilter):
+    """How many frequent shingles a node may have, and those it may share with few others."""
+
     def run(batches):
         for batch in batches:
-            s = []
+            s, rare = [], []
             for _, _, data, offsets in arrays.blocks(batch.column("text")):
-                s += [int(held.contains(x).sum()) for x in shingle_sets(data, offsets, size)]
+                for own in shingle_sets(data, offsets, size):
+                    s.append(int(frequent.contains(own).sum()))
+                    rare.append(own[seldom.contains(own)].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(s, pa.int64())], ["node", "s"]
+                [batch.column("node"), pa.array(s, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
+                ["node", "s", "seldom"],
             )
 
     return run

@@ -35,7 +35,7 @@ from llm.common import rows_of, stage
 TOKENIZER = "byte_bpe_50k.json"
 COMMON = 1 << 20
 _SPACE, _LETTER, _DIGIT, _OTHER = 0, 1, 2, 3
-_FLUSH = 1 << 19
+_FLUSH = 1 << 18
 
 
 @cache
@@ -146,8 +146,7 @@ def _distinct(path: str):
 
     def run(batches):
         special = _special(path)
-        keys = np.zeros(0, np.uint64)
-        counts = np.zeros(0, np.int64)
+        keys, counts, words = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, object)
         for batch in batches:
             for _, _, data, offsets in arrays.blocks(batch.column("text")):
                 cut = _Cut(data, offsets, special)
@@ -157,19 +156,20 @@ def _distinct(path: str):
                 known[known] = keys[place[known]] == key[known]
                 counts[place[known]] += n[known]
                 fresh = ~known
-                yield _word_rows(key[fresh], np.zeros(int(fresh.sum()), np.int64), cut.words(at[fresh]))
+                found = np.array([*cut.words(at[fresh]), None], object)[:-1]
                 order = np.argsort(np.concatenate([keys, key[fresh]]), kind="stable")
                 keys = np.concatenate([keys, key[fresh]])[order]
                 counts = np.concatenate([counts, n[fresh]])[order]
+                words = np.concatenate([words, found])[order]
                 if len(keys) > _FLUSH:
-                    yield _word_rows(keys, counts, [None] * len(keys))
-                    keys, counts = keys[:0], counts[:0]
-        yield _word_rows(keys, counts, [None] * len(keys))
+                    yield _word_rows(keys, counts, words)
+                    keys, counts, words = keys[:0], counts[:0], words[:0]
+        yield _word_rows(keys, counts, words)
 
     return run
 
 
-def _word_rows(key: np.ndarray, n: np.ndarray, words: list) -> pa.RecordBatch:
+def _word_rows(key: np.ndarray, n: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(key.view(np.int64)), pa.array(n), pa.array(words, pa.string())],
         ["hash", "n", "word"],
@@ -207,14 +207,12 @@ def _encode_words(path: str):
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """``hash, n, ids`` of every distinct piece of all texts (a column ``text``)."""
     rows = docs.select("text").mapInArrow(_distinct(path), "hash long, n long, word string")
-    # a piece's text and its number come as rows of their own
-    words = rows.groupBy("hash", "word").agg(F.sum("n").alias("n"))
     clash = F.raise_error(F.lit("two pieces share one hash")).cast("string")
-    whole = words.groupBy("hash").agg(
-        F.sum("n").alias("n"), F.max("word").alias("word"), F.count("word").alias("texts")
+    whole = rows.groupBy("hash").agg(
+        F.sum("n").alias("n"), F.min("word").alias("word"), F.max("word").alias("last")
     )
     checked = whole.select(
-        "hash", "n", F.when(F.col("texts") > 1, clash).otherwise(F.col("word")).alias("word")
+        "hash", "n", F.when(F.col("word") != F.col("last"), clash).otherwise(F.col("word")).alias("word")
     )
     return checked.mapInArrow(_encode_words(path), "hash long, n long, ids binary")
 

@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Largest Arrow batch that is sent to a Python worker at once.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Largest bit filter that is ever sent to the tasks: 2^27 bits are 16 MB.
 MAX_FILTER_BITS = 1 << 27
 _FILTER_BITS_PER_KEY = 16
@@ -32,12 +35,24 @@ def staging_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch of this session hold more than ``BATCH_BYTES`` and one row.
+
+    Batches are counted in rows by default, and 10,000 long texts with their copies in the
+    JVM, in Arrow and in Python are more than a small executor has. A lower limit stays.
+    """
+    held = spark.conf.get(_BATCH_SETTING)
+    if not held.rstrip("b").isdigit() or not 0 < int(held.rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     The step then runs once, its lineage ends here, and a lost executor loses none of it.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{staging_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -50,6 +65,7 @@ def text_column(name: str = "text") -> Column:
 
 def rows_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc`` and ``text`` of every row, whatever other columns the table has."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc"), text_column(text_col).alias("text"))
 
 

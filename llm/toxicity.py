@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import arrays
-from llm.common import rows_of, text_column
+from llm.common import bound_batches, rows_of, text_column
 
 SAMPLE = 10_000
 MAX_CHARS = 8_000
@@ -218,6 +218,7 @@ def _score(shared, text_col: str):
 
 def grade_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """Per row: ``row`` (all columns), ``severity``, ``grade``, ``toxic_probability``, ``toxic``."""
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     typed = docs.withColumn(text_col, text_column(text_col))
     rows = typed.select(F.struct("*").alias("row"))

@@ -24,6 +24,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
@@ -265,38 +266,49 @@ def _fill(path: str, shared):
 
 
 def _squeeze(raw: bytes) -> bytes:
-    """Ids on their way through a shuffle: two bytes each where that is enough, compressed."""
+    """Ids on their way through a shuffle: two bytes each where that is enough, compressed.
+
+    All low bytes come first, then all high bytes, which are alike and compress well.
+    """
     ids = np.frombuffer(raw, "<u4")
     wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
-    body = raw if wide else ids.astype("<u2").tobytes()
+    narrow = ids if wide else ids.astype("<u2")
+    body = narrow.view(np.uint8).reshape(len(ids), narrow.itemsize).T.tobytes()
     return bytes([wide]) + pa.compress(body, "zstd", asbytes=True) + len(body).to_bytes(8, "little")
 
 
 def _unsqueeze(raw: bytes) -> np.ndarray:
     body = pa.decompress(raw[1:-8], int.from_bytes(raw[-8:], "little"), "zstd", asbytes=True)
-    return np.frombuffer(body, "<u4" if raw[0] else "<u2").astype("<u4")
+    kind = np.dtype("<u4" if raw[0] else "<u2")
+    planes = np.frombuffer(body, np.uint8).reshape(kind.itemsize, len(body) // kind.itemsize)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind).astype("<u4")
 
 
 def _finish(batches):
     """Ids of rare pieces put into their places."""
     for batch in batches:
+        raws, rare = batch.column("ids"), batch.column("rare")
+        found = rare.flatten()
+        place = found.field("at").to_numpy()
+        piece = found.field("ids").cast(pa.large_binary())
+        raw = piece.buffers()
+        edge = np.frombuffer(raw[1], np.int64, len(piece) + 1, piece.offset * 8) // 4
+        letters = np.frombuffer(raw[2] or b"", "<u4", int(edge[-1]))
+        first = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(rare), 0).to_numpy()))
         out = []
-        for raw, rare in zip(
-            batch.column("ids").to_pylist(), batch.column("rare").to_pylist(), strict=True
-        ):
-            ids = _unsqueeze(raw)
-            if rare:
-                rare.sort(key=lambda x: x["at"])
-                at = np.array([x["at"] for x in rare])
-                size = np.array([len(x["ids"]) // 4 for x in rare])
+        for k in range(batch.num_rows):
+            ids = _unsqueeze(raws[k].as_py())
+            if first[k] < first[k + 1]:
+                at = place[first[k] : first[k + 1]]
+                order = np.argsort(at)
+                at, here = at[order], first[k] + order
+                size = edge[here + 1] - edge[here]
                 width = np.ones(len(ids), np.int64)
                 width[at] = size
-                ids = np.repeat(ids, width)
                 start = (np.cumsum(width) - width)[at]
-                ids[arrays.expand(start, size)[0]] = np.frombuffer(
-                    b"".join(x["ids"] for x in rare), "<u4"
-                )
-            out.append(ids.astype("<u4").tobytes())
+                ids = np.repeat(ids, width)
+                ids[arrays.expand(start, size)[0]] = letters[arrays.expand(edge[here], size)[0]]
+            out.append(ids.astype("<u4", copy=False).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc"), pa.array(out, pa.binary())], ["doc_id", "ids"]
         )
@@ -344,7 +356,7 @@ def encode(
         .agg(F.collect_set(F.struct("at", "ids")).alias("rare"))
     )
     same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
-    found = found.withColumnsRenamed({"doc": "d", "th": "t"})
+    found = stage(found, "rare").withColumnsRenamed({"doc": "d", "th": "t"})
     joined = filled.select("doc", "th", "ids").join(found, same, "left").select("doc", "ids", "rare")
     return joined.mapInArrow(_finish, "doc_id long, ids binary")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: Largest Arrow batch that is sent to a Python worker at once.
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEAN_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Largest bit filter that is ever sent to the tasks: 2^27 bits are 16 MB.
 MAX_FILTER_BITS = 1 << 27
 _FILTER_BITS_PER_KEY = 16
@@ -50,11 +51,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     The step then runs once, its lineage ends here, and a lost executor loses none of it.
+    Its shuffle files go as soon as the table is written.
     """
     spark = df.sparkSession
     bound_batches(spark)
     path = f"{staging_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_SETTING)
+    spark.conf.set(_CLEAN_SETTING, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

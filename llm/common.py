@@ -59,7 +59,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEAN_SETTING)
     spark.conf.set(_CLEAN_SETTING, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEAN_SETTING, before)
     return spark.read.schema(df.schema).parquet(path)

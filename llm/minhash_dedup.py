@@ -12,9 +12,11 @@ Buckets never turn into all their pairs:
    whose buckets are largest, so the centre of a group of copies). Links make components.
 3. Only pairs of a bucket that are still in different components are left. Small buckets
    compare them directly. In a crowded bucket a node that fails the centre has few possible
-   partners. Either both hold a shingle that at most ``SMALL`` nodes hold, and they meet by it.
-   Or, with ``s`` of its shingles frequent, the intersection is at most ``s``, which bounds
-   the size of a partner, and they meet by bucket and size.
+   partners. Either both hold a shingle that at most ``SMALL`` nodes hold. With such shingles
+   put first in one order for all nodes, the first that a pair has in common is within the prefix
+   that the similarity leaves each of them, and they meet by that prefix if sizes and places
+   allow. Or, with ``s`` of its shingles frequent, the intersection is at most ``s``, which
+   bounds the size of a partner, and they meet by bucket and size.
 
 Candidates must agree in ``AGREE`` of all coordinates (kept as one byte each) before texts move;
 a pair at 0.85 falls short of that with probability 1e-8. Links are confirmed on full
@@ -314,8 +316,9 @@ class _Search:
         frequent = BitFilter(counted.where(F.col("n") > self.small).select("shingle"), "shingle")
         few = counted.where(F.col("n") <= self.small).select("shingle")
         seldom = BitFilter(few, "shingle")
-        schema = "node long, s long, seldom array<long>"
-        bound = stage(own.mapInArrow(_shared_shingles(self.size, frequent, seldom), schema), "bound")
+        schema = "node long, n long, s long, seldom array<long>"
+        search = _shared_shingles(self.size, self.percent, frequent, seldom)
+        bound = stage(own.mapInArrow(search, schema), "bound")
         known = many.join(bound.select("node", "s"), "node")
         outside = stage(known.join(core, "key").where("label != mid_label"), "outside")
 
@@ -333,12 +336,20 @@ class _Search:
         by_size = sizes.join(other, ["key", "n_b"]).where("label != label_b").where(need)
 
         held = (
-            bound.join(here, "node").select("node", "label", F.explode("seldom").alias("shingle"))
+            bound.join(here, "node")
+            .select("node", "n", "label", F.posexplode("seldom").alias("at", "shingle"))
             .join(few, "shingle", "left_semi")
         )
         left = held.join(outside.select("node").distinct(), "node", "left_semi")
-        right = held.select("shingle", F.col("node").alias("node_b"), F.col("label").alias("label_b"))
-        by_shingle = left.join(right, "shingle").where("label != label_b")
+        other = held.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", "at")])
+        # of the first shingle in common, all others in common come after it on both sides
+        after = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+        enough = (F.col("n") + F.col("n_b")) * p <= after * (100 + p)
+        by_shingle = (
+            left.join(other, "shingle")
+            .where("label != label_b")
+            .where(self.fits(F.col("n"), F.col("n_b")) & enough)
+        )
         a, b = F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")
         return by_size.select(a, b).unionByName(by_shingle.select(a, b))
 
@@ -367,19 +378,27 @@ def _counted(sets: list[np.ndarray]) -> pa.RecordBatch:
     )
 
 
-def _shared_shingles(size: int, frequent: BitFilter, seldom: BitFilter):
-    """How many frequent shingles a node may have, and those it may share with few others."""
+def _shared_shingles(size: int, percent: int, frequent: BitFilter, seldom: BitFilter):
+    """Set size, how many frequent shingles a node may have, and the seldom ones of its prefix.
+
+    Seldom shingles come first, by hash, in the order that all nodes share. A set of ``n`` that
+    has ``m`` shingles in common with another holds one of them among its first ``n - m + 1``.
+    """
 
     def run(batches):
         for batch in batches:
-            s, rare = [], []
+            n, s, rare = [], [], []
             for _, _, data, offsets in arrays.blocks(batch.column("text")):
                 for own in shingle_sets(data, offsets, size):
-                    s.append(int(frequent.contains(own).sum()))
-                    rare.append(own[seldom.contains(own)].view(np.int64))
+                    many = frequent.contains(own)
+                    n.append(len(own))
+                    s.append(int(many.sum()))
+                    prefix = len(own) - -(-len(own) * percent // 100) + 1
+                    rare.append(own[seldom.contains(own) & ~many][:prefix].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(s, pa.int64()), pa.array(rare, pa.list_(pa.int64()))],
-                ["node", "s", "seldom"],
+                [batch.column("node"), pa.array(n, pa.int64()), pa.array(s, pa.int64())]
+                + [pa.array(rare, pa.list_(pa.int64()))],
+                ["node", "n", "s", "seldom"],
             )
 
     return run

@@ -1,8 +1,8 @@
 """Vectorised work on the texts of one Arrow batch: blocks, words, hashes, window minima.
 
 Everything here is a small numpy helper that runs inside Spark tasks on one bounded block of
-whole texts at a time. Hashes are 64 bits wide: a polynomial over random codes, modulo 2^64,
-then mixed. They depend on content only, so every task and every retry agrees.
+whole texts at a time. Hashes are two polynomials over random codes modulo a prime, mixed into one
+number of 64 bits. They depend on content only, so every task and every retry agrees.
 """
 
 from __future__ import annotations
@@ -17,20 +17,35 @@ import pyarrow.compute as pc
 BLOCK_BYTES = 400_000
 
 _RNG = np.random.default_rng(20240229)
-_CODES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_PRIME = np.uint64((1 << 31) - 1)
+_CODES = _RNG.integers(1, int(_PRIME), (2, 256), dtype=np.uint64)
+_BASES = (1_103_515_245, 1_749_832_961)
+_SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03))
+_tables: dict[int, np.ndarray] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0][:n], _powers[1][:n]
+def _fold(x: np.ndarray) -> np.ndarray:
+    """The same residue modulo 2^31 - 1 in fewer bits, in place: 64 bits become 34, 62 become 32."""
+    high = x >> np.uint64(31)
+    x &= _PRIME
+    x += high
+    return x
+
+
+def _residue(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    x -= _PRIME * (x >= _PRIME)
+    return x
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo the prime, at least."""
+    table = _tables.get(base, np.ones(1, np.uint64))
+    while len(table) < n:
+        step = np.uint64(pow(base, len(table), int(_PRIME)))
+        table = np.concatenate([table, _residue(table * step)])
+    _tables[base] = table
+    return table[:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -44,29 +59,44 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes of any span of a sequence of bytes, code points or 64-bit symbols."""
+    """Hashes of any span of a sequence of bytes, code points or 64-bit symbols.
+
+    Two lanes, each a polynomial modulo the prime 2^31 - 1 over random codes of its own and with a
+    base of its own, so that no fixed pair of strings meets at every base. Lanes give 62 bits.
+    """
 
     def __init__(self, symbols: np.ndarray):
-        if symbols.dtype == np.uint8:
-            codes = _CODES[symbols]
-        else:
-            codes = mix(symbols.astype(np.uint64) + np.uint64(_BASE))
-        power, self._inverse = _power_tables(len(codes) + 1)
-        codes *= power[:-1]
-        self._sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum(codes, out=self._sums[1:])
+        self._lanes = []
+        for k, base in enumerate(_BASES):
+            if symbols.dtype == np.uint8:
+                codes = _CODES[k][symbols]
+            else:
+                codes = _residue(mix(symbols.astype(np.uint64) ^ _SEEDS[k]))
+            codes *= _powers(base, len(codes))
+            codes = _fold(codes)
+            sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(codes, out=sums[1:])
+            inverse = _powers(pow(base, -1, int(_PRIME)), len(sums))
+            self._lanes.append((sums, inverse))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of symbols [start, end) for each pair."""
-        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + np.uint64(1))
+        first, second = (
+            _residue(_fold(_fold(sums[end] - sums[start])) * inverse[start])
+            for sums, inverse in self._lanes
+        )
+        return mix((first << np.uint64(32)) + second + np.uint64(1))
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the ``n`` symbols from each place that has so many after it."""
-        count = len(self._sums) - n
+        count = len(self._lanes[0][0]) - n
         if count <= 0:
             return np.zeros(0, np.uint64)
-        raw = (self._sums[n:] - self._sums[:count]) * self._inverse[:count]
-        return mix(raw + np.uint64(1))
+        first, second = (
+            _residue(_fold(_fold(sums[n:] - sums[:count])) * inverse[:count])
+            for sums, inverse in self._lanes
+        )
+        return mix((first << np.uint64(32)) + second + np.uint64(1))
 
 
 def blocks(

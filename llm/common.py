@@ -23,7 +23,7 @@ _own_folder: list[str] = []
 def staging_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, named by ``spark.checkpoint.dir``.
 
-    Where it is unset (tests, one machine) a temporary folder is made and set.
+    Where it is unset (tests, one machine) a temporary folder is made.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -32,7 +32,6 @@ def staging_folder(spark: SparkSession) -> str:
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="llm-"))
         base = _own_folder[0]
-        spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 

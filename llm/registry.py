@@ -9,10 +9,13 @@ from llm import (
     exact_dedup,
     license_scan,
     minhash_dedup,
+    ngram_join,
+    spelling,
     substring_dedup,
     suffix_dedup,
     token_counts,
     toxicity,
+    vector_codes,
 )
 
 _MODULES = {
@@ -26,6 +29,9 @@ _MODULES = {
     "op8_license_scan": license_scan,
     "op9_toxicity": toxicity,
     "op10_token_counts": token_counts,
+    "op11_ngram_join": ngram_join,
+    "op12_spelling": spelling,
+    "op13_vector_codes": vector_codes,
 }
 
 

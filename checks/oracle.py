@@ -30,6 +30,18 @@ LADDER_SQL = """case when {n} <= 65 then {r}
 
 _BASE = "case when suffix(id, '/1') or suffix(id, '/2') then left(id, length(id) - 2) else id end"
 
+
+def _index_of(kmers: str) -> str:
+    """Each k-mer with the deepest taxon above all taxa that hold it."""
+    return f"""
+select kmer, cast(max_by(ancestor, depth) as int) as taxid from
+ (select k.kmer, t.ancestor, t.depth, count(*) as covered, any_value(n.taxa) as taxa
+  from {kmers} k join o_database t on t.descendant = k.taxid
+  join (select kmer, count(*) as taxa from {kmers} group by kmer) n on n.kmer = k.kmer
+  group by k.kmer, t.ancestor, t.depth)
+where covered = taxa group by kmer"""
+
+
 PARTS: dict[str, str] = {
     "o_mapped": "select * from fx_alignments where flag <> 4",
     "o_taxonomy": """
@@ -142,13 +154,15 @@ select distinct k.kmer, g.id as taxid from
    (select genome, substring(seq, cast(i as int), {K}) as f
     from (select genome, seq, unnest(range(1, length(seq) - {K} + 2)) as i from fx_contig_seq))) k
 join fx_genomes g using (genome)""",
-    "o_shared": """
-select k.kmer, t.ancestor, t.depth, count(*) as covered, any_value(n.taxa) as taxa
-from o_species_kmers k join o_database t on t.descendant = k.taxid
-join (select kmer, count(*) as taxa from o_species_kmers group by kmer) n on n.kmer = k.kmer
-group by k.kmer, t.ancestor, t.depth""",
-    "o_index": """
-select kmer, cast(max_by(ancestor, depth) as int) as taxid from o_shared where covered = taxa group by kmer""",
+    # contigs repeat their 64 letters, and the shortest repeats them many times
+    "o_genome_kmers": f"""
+select distinct k.kmer, g.id as taxid from
+ (select genome, least(f, reverse(translate(f, 'ACGT', 'TGCA'))) as kmer from
+   (select genome, substring(concat(seq, seq), cast(i as int), {K}) as f
+    from (select genome, seq, unnest(range(1, 65)) as i from fx_contig_seq))) k
+join fx_genomes g using (genome)""",
+    "o_index": _index_of("o_species_kmers"),
+    "o_genome_index": _index_of("o_genome_kmers"),
     "o_read_kmers": f"""
 select sample, id, case when regexp_matches(f, '^[ACGT]+$') then least(f, reverse(translate(f, 'ACGT', 'TGCA'))) end as kmer
 from (select sample, id, substring(seq, cast(i as int), {K}) as f
@@ -208,7 +222,10 @@ from o_mapped""",
     "contig_offsets_from_files": "select * from o_offsets",
     "read_taxon_list": "select * from o_targets",
     "list_samples": "select distinct sample from fx_alignments",
-    "contig_lengths": "select accession, length(seq) as contig_length from fx_contig_seq",
+    "read_genome_chunks": """
+select accession as id, concat(accession, ' contig of ', genome) as description, length(seq) as n_letters, md5(seq) as seq_md5,
+       true as cut from fx_genome_seq""",
+    "contig_lengths": "select accession, contig_length from fx_contigs",
     "contig_headers": """
 select path, header, regexp_replace(header, '[:>]+', chr(9), 'g') as fields from fx_headers""",
     "contig_genome": """
@@ -306,7 +323,7 @@ union all select 'unique', sample, kraken_genus_taxid, name, clade_reads, tick_c
     "clade_report": """
 select r.sample, r.taxid, r.clade_reads, r.taxon_reads, 100.0::double * r.clade_reads / t.n as percentage
 from fx_report r join (select sample, count(*) as n from fx_assignments group by sample) t on t.sample = r.sample""",
-    "kmer_index": "select kmer, taxid from o_index",
+    "kmer_index": "select kmer, taxid from o_genome_index",
     "classify_reads": "select * from o_classified",
     "clade_report_kmers": """
 select r.sample, r.taxid, r.clade_reads, r.taxon_reads, coalesce(k.n_kmers, 0) as n_kmers,

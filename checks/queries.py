@@ -19,6 +19,7 @@ from readsift.plans.extraction import Extraction
 from readsift.session import stage, staging_path
 from readsift.sinks import writers
 from readsift.sources import sequences, text
+from readsift.sources.chunks import read_genome_chunks
 
 # Genus, species and an unknown taxid, so that every branch of the expansion occurs.
 TAXIDS = [103, 1014, 1025, 99999]
@@ -26,6 +27,8 @@ MAX_READS = 1000
 EVENT_KEYS = ["entity", "grp"]
 EVENT_WIDTH = 60
 K = 31
+# Letters of a chunk, fewer than a contig has.
+CHUNK = 1500
 SAMPLE_FOLDER = r"sample=([^/]+)/"
 MATE_FOLDER = r"sample=([^/]+)/mate=(\d)/"
 
@@ -115,11 +118,30 @@ def read_genomes(s: Standins) -> DataFrame:
     return sequences.read_genomes(s.spark, path, glob="*").select("id", "description", "seq")
 
 
-def contig_lengths(s: Standins) -> DataFrame:
-    contigs = s.contig_seq.select(F.concat("accession", F.lit(" contig of "), "genome").alias("description"), "seq")
+def genome_chunks(s: Standins) -> DataFrame:
+    """Contigs of their stated length, written and read as chunks."""
+    named = F.concat("accession", F.lit(" contig of "), "genome").alias("description")
+    contigs = s.genome_seq.select(named, "seq")
     path = s.staged("genomes", contigs, lambda df, p: writers.write_reads(df, p))
-    rows = sequences.read_genomes(s.spark, path, glob="*")
-    return dims.contig_lengths(rows).select("accession", "contig_length")
+    return read_genome_chunks(s.spark, path, glob="*", letters=CHUNK)
+
+
+def contigs_of_chunks(s: Standins) -> DataFrame:
+    """What the chunks of a contig make up, and how many of them are full."""
+    own = F.expr("right(seq, letters)")
+    each = genome_chunks(s).where("letters > 0").groupBy("path", "line_no", "id", "description").agg(
+        F.array_sort(F.collect_list(F.struct("start", own.alias("seq")))).alias("parts"),
+        F.max("letters").cast("long").alias("longest"),
+    )
+    seq = F.concat_ws("", "parts.seq")
+    return each.select(
+        "id", "description", F.length(seq).cast("long").alias("n_letters"), F.md5(seq).alias("seq_md5"),
+        (F.col("longest") <= CHUNK).alias("cut"),
+    )
+
+
+def contig_lengths(s: Standins) -> DataFrame:
+    return dims.contig_lengths(genome_chunks(s)).select("accession", "contig_length")
 
 
 def read_assignments(s: Standins) -> DataFrame:
@@ -240,7 +262,10 @@ def _extract(s: Standins, **options) -> DataFrame:
 
 
 def kmer_index(s: Standins) -> DataFrame:
-    return s.classifier().index.select(kmer_text(F.col("kmer"), K).alias("kmer"), "taxid")
+    """The index of whole genomes, made from their chunks."""
+    contigs = genome_chunks(s).withColumnRenamed("id", "accession")
+    index = Classifier(contigs, s.taxonomy, s.taxa, K).index
+    return index.select(kmer_text(F.col("kmer"), K).alias("kmer"), "taxid")
 
 
 def classify_reads(s: Standins) -> DataFrame:
@@ -260,6 +285,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "read_sequences": read_sequences,
     "read_fastq": read_fastq,
     "read_genomes": read_genomes,
+    "read_genome_chunks": contigs_of_chunks,
     "read_assignments": read_assignments,
     "report_levels": report_levels,
     "report_table": report_table,

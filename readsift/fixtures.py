@@ -125,6 +125,11 @@ select accession, genome, contig_no,
        concat(translate(md5(concat('a', cast(contig_no % 10 as string))), '0123456789abcdef', 'ACGTACGTACGTACGT'),
               translate(md5(concat('b', cast(contig_no as string))), '0123456789abcdef', 'ACGTACGTACGTACGT')) as seq
 from fx_contigs""",
+    # contigs of the stated length: their 64 letters again and again
+    "fx_genome_seq": """
+select s.accession, s.genome, s.contig_no, c.contig_length,
+       substring(repeat(s.seq, cast(floor(c.contig_length / 64.0) as int) + 1), 1, cast(c.contig_length as int)) as seq
+from fx_contig_seq s join fx_contigs c on c.accession = s.accession""",
     "fx_kmer_reads": """
 select concat('s', cast(l.l_orderkey % 4 as string)) as sample, concat('q', cast(l.l_orderkey as string), '.', cast(l.l_linenumber as string)) as id,
        case when l.l_orderkey % 13 = 0 then repeat('N', 40)

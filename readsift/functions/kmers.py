@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -83,14 +85,9 @@ def kmers(
 
     def explode(batches):
         for batch in batches:
-            text = batch.column(len(keep)).cast(pa.large_binary()).fill_null(b"")
+            data, ends = _batch_letters(batch.column(len(keep)))
             kept = [batch.column(i) for i in range(len(keep))]
-            offsets = np.frombuffer(text.buffers()[1], np.int64)[
-                text.offset : text.offset + len(text) + 1
-            ]
-            data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-            ends = offsets[1:] - offsets[0]
-            filled = np.zeros(len(text), dtype=bool)
+            filled = np.zeros(len(ends), dtype=bool)
             names = [*keep, "kmer"]
             for rows, values in _kmer_rows(data, ends, k):
                 filled[rows] = True
@@ -106,6 +103,68 @@ def kmers(
     return source.mapInArrow(explode, schema)
 
 
+def _batch_letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Letters of all rows of a batch, and the end of each row."""
+    text = column.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets[1:] - offsets[0]
+
+
+def count_kmers(df: DataFrame, k: int, seq: str = "seq", out: str = "n_kmers") -> DataFrame:
+    """Adds the number of k-mers of each row without a foreign letter."""
+
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        column = pa.array(texts, pa.large_string(), from_pandas=True)
+        data, ends = _batch_letters(column)
+        found = np.zeros(len(ends), np.int64)
+        for start in range(0, len(data), SLICE_BASES):
+            piece = data[start : start + SLICE_BASES + k - 1]
+            n = len(piece) - k + 1
+            if n <= 0:
+                break
+            foreign = np.concatenate(([0], np.cumsum(_CODES[piece] > 3)))
+            row = np.searchsorted(ends, np.arange(start, start + len(piece)), side="right")
+            good = (foreign[k:] == foreign[:n]) & (row[:n] == row[k - 1 :])
+            found += np.bincount(row[:n][good], minlength=len(found))
+        return pd.Series(found)
+
+    return df.withColumn(out, count(F.col(seq)))
+
+
+def kmer_lists(df: DataFrame, k: int, number: str, by: str, seq: str = "seq") -> DataFrame:
+    """Inverted lists: ``by``, ``kmer`` and ``rows``, the numbers of the rows that hold the k-mer.
+
+    One row per distinct k-mer and value of ``by`` in each slice of an Arrow batch, in place of
+    one per occurrence; a row that holds a k-mer twice is listed twice.
+    """
+    source = df.select(F.col(by).cast("string").alias(by), F.col(number).cast("long"), seq)
+
+    def run(batches):
+        for batch in batches:
+            names = pc.dictionary_encode(batch.column(0), null_encoding="encode")
+            group = names.indices.to_numpy(zero_copy_only=False)
+            numbers = batch.column(1).to_numpy()
+            for rows, values in _kmer_rows(*_batch_letters(batch.column(2)), k):
+                if not len(rows):
+                    continue
+                of = group[rows]
+                order = np.lexsort((values, of)) if len(names.dictionary) > 1 else np.argsort(values)
+                values, of = values[order], of[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (values[1:] != values[:-1]) | (of[1:] != of[:-1])
+                first = np.flatnonzero(new)
+                ends = pa.array(np.append(first, len(order)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [names.dictionary.take(pa.array(of[first])), pa.array(values[first])]
+                    + [pa.ListArray.from_arrays(ends, pa.array(numbers[rows[order]]))],
+                    names=[by, "kmer", "rows"],
+                )
+
+    return source.mapInArrow(run, f"`{by}` string, kmer long, rows array<long>")
+
+
 def kmer_text(kmer: Column, k: int) -> Column:
     """Letters of a k-mer number."""
     digits = F.lpad(F.conv(kmer.cast("string"), 10, 4), k, "0")

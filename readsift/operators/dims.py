@@ -15,13 +15,17 @@ from readsift.operators.prefix import BLOCK_ROWS, running_sum
 def contig_lengths(contigs: DataFrame) -> DataFrame:
     """Base count per contig; of contigs with one name the first in file order stays.
 
-    Takes the rows of the sequence reader (path, line_no, id, seq).
+    Takes the rows of the sequence reader (path, line_no, id, seq), or the chunks of contigs
+    (with ``letters``), whose lengths are added up.
     """
-    measured = contigs.select(
-        F.col("id").alias("accession"),
-        F.struct("path", "line_no").alias("place"),
-        F.length("seq").cast("long").alias("contig_length"),
-    )
+    where = F.struct("path", "line_no").alias("place")
+    if "letters" in contigs.columns:
+        measured = contigs.groupBy(F.col("id").alias("accession"), where).agg(
+            F.sum("letters").alias("contig_length")
+        )
+    else:
+        length = F.length("seq").cast("long").alias("contig_length")
+        measured = contigs.select(F.col("id").alias("accession"), where, length)
     return measured.groupBy("accession").agg(
         F.min_by("contig_length", "place").alias("contig_length"),
         F.min("place")["line_no"].alias("contig_no"),

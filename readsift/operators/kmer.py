@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readsift.functions.kmers import kmers
+from readsift.functions.kmers import count_kmers, kmer_lists, kmers
 from readsift.operators.joins import dimension_join
 from readsift.operators.taxonomy import taxon_closure
-from readsift.session import stage
+from readsift.session import INDEX_TABLE, stage, staging_path
 
 K = 31
 CONFIDENCE = 0.2
+# Reads that are looked at for k-mers of a great part of all reads, and how great a part.
+HOT_SAMPLE = 20_000
+HOT_SHARE = 0.01
 READ = ["id", "sample"]
 
 
@@ -64,13 +70,94 @@ def kmer_index(
     )
 
 
-def kmer_hits(reads: DataFrame, index: DataFrame, k: int = K) -> DataFrame:
-    """Every k-mer of every read with the taxon it stands for, NULL where unknown.
+def store_index(index: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The index as a table bucketed and sorted by k-mer, in the staging folder.
+
+    Whatever is joined with it on ``kmer`` is dealt to its buckets, and the index itself is never
+    shuffled again. There are as many buckets as shuffle partitions, or the number given.
+    """
+    spark = index.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{INDEX_TABLE}_{uuid.uuid4().hex}"
+    (
+        index.repartition(buckets, "kmer")
+        .write.bucketBy(buckets, "kmer").sortBy("kmer")
+        .option("path", staging_path(spark, "index")).saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def hot_kmers(reads: DataFrame, k: int = K) -> list[int]:
+    """k-mers that hold at least ``HOT_SHARE`` of the k-mers of a sample of ``HOT_SAMPLE`` reads.
+
+    At most 1 / ``HOT_SHARE`` numbers. They are matched apart, so that no bucket gathers the reads of
+    a k-mer that a great part of all reads hold. Results do not depend on them.
+    """
+    n = reads.count()
+    some = reads.sample(min(1.0, HOT_SAMPLE / max(n, 1)), seed=1)
+    counts = kmers(some, k, keep=[]).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r.kmer for r in counts.where(F.col("n") >= max(2, HOT_SHARE * total)).collect()]
+
+
+@dataclass
+class Matches:
+    """k-mers of reads that the index knows, as stored tables.
 
-    A read without k-mers gives one row with a negative k-mer.
+    ``reads`` has sample, id, read_no and n_kmers (valid k-mers) of every row of reads. ``found`` has sample,
+    kmer, taxid and ``rows``, the numbers of the reads that hold the k-mer.
     """
-    found = kmers(reads, k, keep=READ, keep_empty=True)
-    return dimension_join(found, index, ["kmer"])
+
+    reads: DataFrame
+    found: DataFrame
+
+    def hits(self) -> DataFrame:
+        """Known k-mers per read and taxon: sample, id, taxid, hits, n_kmers, n_taxa.
+
+        Rows of one id, such as mates, are one read. Each read has a row without a taxon as well.
+        ``n_kmers`` are the valid k-mers of the read and ``n_taxa`` its taxa.
+        """
+        each = self.found.select(F.explode("rows").alias("read_no"), "taxid")
+        per_row = each.repartition("read_no").groupBy("read_no", "taxid").agg(
+            F.count(F.lit(1)).alias("hits")
+        )
+        none = F.lit(0).cast("long")
+        known = per_row.join(self.reads.select("read_no", *READ), "read_no").select(
+            *READ, "taxid", "hits", none.alias("valid")
+        )
+        valid = self.reads.select(
+            *READ, F.lit(None).cast("int").alias("taxid"), none.alias("hits"), F.col("n_kmers").alias("valid")
+        )
+        # dealt by read at once: this serves the sums as well as the windows
+        rows = known.unionByName(valid).repartition(*READ).groupBy(*READ, "taxid").agg(
+            F.sum("hits").alias("hits"), F.sum("valid").alias("valid")
+        )
+        per_read = Window.partitionBy(*READ)
+        return (
+            rows.withColumn("n_taxa", F.count("taxid").over(per_read))
+            .withColumn("n_kmers", F.sum("valid").over(per_read))
+            .drop("valid")
+        )
+
+
+def kmer_matches(reads: DataFrame, index: DataFrame, k: int = K) -> Matches:
+    """All k-mers of all reads looked up in the index, once.
+
+    Reads are numbered and stored. Their k-mers travel as inverted lists, one row per distinct
+    k-mer of a batch with the numbers of its reads. A bucketed index (``store_index``) is not
+    moved. k-mers of a great part of all reads meet their few index rows apart.
+    """
+    numbered = reads.select(F.monotonically_increasing_id().alias("read_no"), *READ, "seq")
+    stored = stage(count_kmers(numbered, k), "reads")
+    lists = kmer_lists(stored, k, "read_no", "sample")
+    hot = hot_kmers(stored.select("seq"), k)
+    is_hot = F.col("kmer").isin(hot) if hot else F.lit(False)
+    found = lists.where(~is_hot).join(index.where(~is_hot), "kmer")
+    if hot:  # at most 1 / HOT_SHARE rows of the index
+        few = index.where(is_hot)
+        found = found.unionByName(lists.where(is_hot).join(F.broadcast(few), "kmer"))
+    columns = ["sample", "kmer", "taxid", "rows"]
+    return Matches(stored.drop("seq"), stage(found.select(columns), "found"))
 
 
 def classify_reads(
@@ -79,6 +166,13 @@ def classify_reads(
     closure: DataFrame,
     k: int = K,
     confidence: float = CONFIDENCE,
+) -> DataFrame:
+    """Taxid and number of valid k-mers of every read; 0 is unclassified."""
+    return classify_matches(kmer_matches(reads, index, k), closure, confidence)
+
+
+def classify_matches(
+    matches: Matches, closure: DataFrame, confidence: float = CONFIDENCE
 ) -> DataFrame:
     """Taxid and number of valid k-mers of every read; 0 is unclassified.
 
@@ -86,20 +180,10 @@ def classify_reads(
     going to their common ancestor. From there the read moves up until the hits in the
     clade reach ``confidence`` of its valid k-mers.
 
-    k-mer rows are added up to (read, taxon) before the shuffle by read, and stored, so that
-    k-mers are made and joined once. A read with hits in one taxon only is decided at once: all
-    its clades hold the same hits. The others meet their paths, and windows score them.
+    A read with hits in one taxon only is decided at once: all its clades hold the same hits.
+    The others meet their paths, and windows score them.
     """
-    hits = kmer_hits(reads, index, k).groupBy(*READ, "taxid").agg(
-        F.count_if(F.col("kmer") >= 0).alias("hits")
-    )
-    per_read = Window.partitionBy(*READ)
-    counted = stage(
-        hits.repartition(*READ)
-        .withColumn("n_taxa", F.count("taxid").over(per_read))
-        .withColumn("n_kmers", F.sum("hits").over(per_read)),
-        "read_hits",
-    )
+    counted = stage(matches.hits(), "read_hits")
     known = F.when(F.col("taxid").isNotNull(), F.col("hits"))
     one_taxon = (
         counted.where(F.col("n_taxa") <= 1)
@@ -142,12 +226,12 @@ def _best_taxon(hits: DataFrame, closure: DataFrame, confidence: float) -> DataF
 def clade_report(
     assignments: DataFrame,
     closure: DataFrame,
-    hits: DataFrame | None = None,
+    found: DataFrame | None = None,
     approximate: bool = False,
 ) -> DataFrame:
     """Reads of every taxon and of its clade, with the percentage of the sample's reads.
 
-    With the rows of ``kmer_hits`` also k-mers and distinct k-mers of the clade;
+    With the rows ``found`` of ``kmer_matches`` also k-mers and distinct k-mers of the clade;
     ``approximate`` estimates the latter. All rows are added up per taxid before they meet
     the tree, so no taxid is hot in the join. A tree without ``sample`` serves all samples.
     """
@@ -174,16 +258,16 @@ def clade_report(
         "taxon_reads",
         (F.lit(100.0) * F.col("clade_reads") / F.col("total")).alias("percentage"),
     )
-    if hits is None:
+    if found is None:
         return out
     # a k-mer stands for one taxon, so distinct k-mers of a clade are the sum over its taxa
-    known = hits.where(F.col("taxid").isNotNull())
+    known = found.select("sample", "taxid", "kmer", F.size("rows").cast("long").alias("n"))
     if approximate:
         sums = known.groupBy("sample", "taxid").agg(
-            F.count(F.lit(1)).alias("n"), F.approx_count_distinct("kmer").alias("n_unique")
+            F.sum("n").alias("n"), F.approx_count_distinct("kmer").alias("n_unique")
         )
     else:
-        each = known.groupBy("sample", "taxid", "kmer").agg(F.count(F.lit(1)).alias("n"))
+        each = known.groupBy("sample", "taxid", "kmer").agg(F.sum("n").alias("n"))
         sums = each.groupBy("sample", "taxid").agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique")
         )

@@ -11,23 +11,37 @@ from readsift.session import stage
 class Classifier:
     """k-mer index and tree as stored tables, shared by all reads.
 
-    The tree belongs to the database and holds for every sample. Stored, the size of both
-    is known: a small index is broadcast, a large one is shuffled once per run beside the
-    far larger k-mers of the reads.
+    The tree belongs to the database and holds for every sample. The index is bucketed by k-mer:
+    a small one is broadcast, a large one is read in place, and only the k-mers of the reads
+    move. Contigs may come whole or as the chunks of ``read_genome_chunks``.
     """
 
-    def __init__(self, contigs: DataFrame, taxonomy: DataFrame, taxa: DataFrame, k: int = kmer.K):
+    def __init__(
+        self,
+        contigs: DataFrame,
+        taxonomy: DataFrame,
+        taxa: DataFrame,
+        k: int = kmer.K,
+        buckets: int | None = None,
+    ):
         self.k = k
         self.closure = kmer.database_tree(taxa)
-        self.index = stage(kmer.kmer_index(contigs, taxonomy, self.closure, k), "index")
+        self.index = kmer.store_index(
+            kmer.kmer_index(contigs, taxonomy, self.closure, k), buckets
+        )
 
-    def classify(self, reads: DataFrame, confidence: float = kmer.CONFIDENCE) -> DataFrame:
-        return kmer.classify_reads(reads, self.index, self.closure, self.k, confidence)
+    def matches(self, reads: DataFrame) -> kmer.Matches:
+        """k-mers of the reads that the index knows; both results below can share them."""
+        return kmer.kmer_matches(reads, self.index, self.k)
 
-    def hits(self, reads: DataFrame) -> DataFrame:
-        return kmer.kmer_hits(reads, self.index, self.k)
+    def classify(self, reads: DataFrame, confidence: float = kmer.CONFIDENCE) -> DataFrame:
+        return kmer.classify_matches(self.matches(reads), self.closure, confidence)
 
     def report(self, reads: DataFrame, confidence: float = kmer.CONFIDENCE) -> DataFrame:
-        """Clade report of all samples, with k-mers and distinct k-mers."""
-        calls = stage(self.classify(reads, confidence), "calls")
-        return kmer.clade_report(calls, self.closure, self.hits(reads))
+        """Clade report of all samples, with k-mers and distinct k-mers.
+
+        k-mers are made and looked up once, for the calls and for the counts.
+        """
+        matches = self.matches(reads)
+        calls = stage(kmer.classify_matches(matches, self.closure, confidence), "calls")
+        return kmer.clade_report(calls, self.closure, matches.found)

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_BASES: dict[str, str] = {}
 
+# Catalog name that tables of stored indexes begin with.
+INDEX_TABLE = "readsift_index"
+
 
 def build_session(
     master: str | None = None,
@@ -77,6 +80,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_staged(spark: SparkSession) -> None:
     """Delete all tables this application has staged; results built on them are gone too."""
+    for table in spark.catalog.listTables(pattern=f"{INDEX_TABLE}_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {table.name}")
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         return

@@ -125,6 +125,10 @@ select s.*, n.name as genera from
   group by all) s
 left join fx_nodes n on cast(n.id as varchar) = s.kraken_genus_taxid
 qualify rank() over (partition by s.sample, s.kraken_genus_taxid order by s.n desc) <= 15""",
+    "o_profile": """
+select w.sample, w.genome, w.kraken_genus_taxid, w."window", w.reads, n.name from o_windows w
+join o_coverage c using (sample, genome, kraken_genus_taxid)
+left join fx_nodes n on cast(n.id as varchar) = w.kraken_genus_taxid""",
     # tree: parents are part of the stand-in taxonomy, so no pre-order logic is needed here
     "o_database": """
 select taxid as descendant, taxid as ancestor, level_num as depth from fx_taxa
@@ -213,12 +217,12 @@ select sample, id, concat(id, ' x') as description, seq, repeat('@', length(seq)
     "read_assignments": "select sample, status, read_id, taxid, '32' as length, '0:1' as hits from fx_assignments",
     "report_levels": "select sample, taxid, level_num, tax_rank from fx_report",
     "report_table": """
-select sample, cast(1.0 as double) as percentage, clade_reads, taxon_reads, n_kmers, n_unique_kmers, tax_rank, taxid, name
-from fx_report""",
+select sample, cast(1.0 as double) as percentage, clade_reads, taxon_reads, n_kmers, n_unique_kmers, tax_rank, taxid, name,
+       level_num from fx_report""",
     "read_alignments": """
 select sample, read, flag, accession, start_position, cast(44 as int) as mapq, '32M' as cigar, kraken_genus_taxid
 from o_mapped""",
-    "read_dimension": "select accession, genome, contig_length, contig_no from fx_contigs",
+    "read_dimension": "select accession, nullif(genome, 'h3') as genome, contig_length, contig_no from fx_contigs",
     "contig_offsets_from_files": "select * from o_offsets",
     "read_taxon_list": "select * from o_targets",
     "list_samples": "select distinct sample from fx_alignments",
@@ -245,6 +249,7 @@ select split_part(header, ' ', 1) as accession,
 select c.accession, c.genome, p.sample, p.kraken_genus_taxid from fx_contigs c
 left join o_pairs p on p.genome is not distinct from c.genome""",
     "first_alignment": "select * from o_first",
+    "first_alignment_files": "select * exclude (line_no) from o_first",
     "report_edges": """
 select r.sample, t.taxid, case when t.parent_taxid > 0 then t.parent_taxid end as parent_taxid, t.level_num, t.line_no
 from fx_taxa t join fx_report r on r.taxid = t.taxid""",
@@ -268,6 +273,11 @@ union select sample, target, target from o_wanted, o_samples""",
                  group by sample, read_id
                  qualify row_number() over (partition by sample order by min(line_no)) <= {MAX_READS})"""
     ),
+    "extract_max_files": _READS_BY_ID.format(
+        ids=f"""(select sample, read_id from fx_assignments where (sample, taxid) in (select sample, taxid from o_children)
+                 group by sample, read_id
+                 qualify row_number() over (partition by sample order by min(line_no)) <= {MAX_READS})"""
+    ),
     "extract_paired": f"""
 select sample, mate, id, seq from fx_mates
 where (sample, id) in (select sample, read_id from o_ids) or (sample, {_BASE}) in (select sample, read_id from o_ids)""",
@@ -294,10 +304,11 @@ from o_samples s""",
     "coverage_totals": "select * from o_totals",
     "best_genome": "select * from o_best",
     "coverage_verdict": "select * from o_coverage",
-    "coverage_profile": """
-select w.sample, w.genome, w.kraken_genus_taxid, w."window", w.reads, n.name from o_windows w
-join o_coverage c using (sample, genome, kraken_genus_taxid)
-left join fx_nodes n on cast(n.id as varchar) = w.kraken_genus_taxid""",
+    "coverage_profile": "select * from o_profile",
+    "sorted_profile": """
+select *, row_number() over (partition by sample order by genome, kraken_genus_taxid, "window") as position from o_profile""",
+    "sorted_species": """
+select *, row_number() over (partition by sample order by n, kraken_genus_taxid, name nulls last) as position from o_species""",
     "event_window_counts": _EVENT_COUNTS,
     "event_coverage_verdict": f"""
 select *, {LADDER_SQL} as indicator from

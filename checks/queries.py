@@ -23,7 +23,8 @@ from readsift.sources.chunks import read_genome_chunks
 
 # Genus, species and an unknown taxid, so that every branch of the expansion occurs.
 TAXIDS = [103, 1014, 1025, 99999]
-MAX_READS = 1000
+# Fewer than any sample has.
+MAX_READS = 25
 EVENT_KEYS = ["entity", "grp"]
 EVENT_WIDTH = 60
 K = 31
@@ -158,7 +159,8 @@ def report_levels(s: Standins) -> DataFrame:
 
 def report_table(s: Standins) -> DataFrame:
     path = s.by_sample("report", s.report_lines)
-    return text.read_report(s.spark, path, path_pattern=SAMPLE_FOLDER).drop("line_no")
+    rows = text.read_report(s.spark, path, path_pattern=SAMPLE_FOLDER)
+    return rows.drop("line_no")
 
 
 def read_alignments(s: Standins) -> DataFrame:
@@ -168,11 +170,33 @@ def read_alignments(s: Standins) -> DataFrame:
     lines = s.alignment_lines.select("line", "sample", "kraken_genus_taxid")
     path = s.staged("sam", lines, write)
     rows = text.read_alignments(s.spark, path, glob=None, path_pattern=text.STAGED_SAM_PATH)
-    return rows.drop("line_no")
+    return rows.drop("file", "line_no")
+
+
+def first_alignment_files(s: Standins) -> DataFrame:
+    """First rows of reads whose alignments of one genus come in several files."""
+    keys = ["sample", "kraken_genus_taxid", "line_no"]
+    lines = s.alignment_lines.repartitionByRange(5, "line_no").sortWithinPartitions(*keys)
+    lines = lines.select("line", "sample", "kraken_genus_taxid")
+    path = s.staged(
+        "sam", lines, lambda df, p: df.write.partitionBy("sample", "kraken_genus_taxid").text(p)
+    )
+    rows = text.read_alignments(s.spark, path, glob=None, path_pattern=text.STAGED_SAM_PATH)
+    return al.first_alignment(rows).drop("file", "line_no", "mapq", "cigar")
+
+
+def extract_max_files(s: Standins) -> DataFrame:
+    """The first reads of each sample in assignments of several files."""
+    lines = s.assignment_lines.repartitionByRange(5, "line_no").sortWithinPartitions("sample", "line_no")
+    path = s.by_sample("assignments", lines)
+    rows = text.read_assignments(s.spark, path, path_pattern=SAMPLE_FOLDER)
+    return Extraction(rows, s.reads, s.report).extract(TAXIDS, children=True, max_reads=MAX_READS)
 
 
 def read_dimension(s: Standins) -> DataFrame:
-    genomes = s.staged("a2g", s.contig_genomes, writers.write_contig_genomes)
+    """Contigs of genome h3 have none."""
+    known = s.contig_genomes.withColumn("genome", F.nullif("genome", F.lit("h3")))
+    genomes = s.staged("a2g", known, writers.write_contig_genomes)
     lengths = s.staged("a2l", s.lengths, writers.write_contig_lengths)
     return (
         text.read_contig_genomes(s.spark, genomes)
@@ -311,6 +335,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "genomes_hit": lambda s: dims.genomes_hit(s.contig_genomes, al.primary_pairs(s.hits)),
     "pair_contigs": lambda s: dims.pair_contigs(s.contig_genomes, al.primary_pairs(s.hits)),
     "first_alignment": first_alignment,
+    "first_alignment_files": first_alignment_files,
     # taxonomy
     "report_edges": lambda s: taxonomy.report_edges(s.report),
     "level_ids": lambda s: taxonomy.level_ids(s.report),
@@ -321,6 +346,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "extract_parents": lambda s: _extract(s, parents=True),
     "extract_exclude": lambda s: _extract(s, exclude=True),
     "extract_max": lambda s: _extract(s, max_reads=MAX_READS),
+    "extract_max_files": extract_max_files,
     "extract_paired": lambda s: Extraction(s.assignments, s.mates, s.report).extract(
         TAXIDS, children=True
     ),
@@ -346,6 +372,8 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "refine_report": lambda s: s.evaluation().refined(),
     "unique_kmer_verdict": lambda s: vd.unique_kmer_verdict(vd.genus_report(s.report)),
     "species_top": lambda s: s.evaluation().species(),
+    "sorted_species": lambda s: s.evaluation().sorted_species(),
+    "sorted_profile": lambda s: s.evaluation().sorted_profile(),
     "compare_groupings": lambda s: s.evaluation().groupings(),
     "clade_report": lambda s: kmer.clade_report(s.assignments, s.closure),
     # k-mers

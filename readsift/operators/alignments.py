@@ -56,12 +56,13 @@ def primary_pairs(hits: DataFrame) -> DataFrame:
 def first_alignment(alignments: DataFrame) -> DataFrame:
     """First row of every read, secondary rows included.
 
-    File order is (genus, line_no). Without line numbers the order is genus, primary
-    before secondary, higher mapping quality, contig, position.
+    File order is (genus, file, line_no), or (genus, line_no) where the rows name no file.
+    Without line numbers the order is genus, primary before secondary, higher mapping
+    quality, contig, position.
     """
     names = alignments.columns
     if "line_no" in names:
-        order = ["kraken_genus_taxid", "line_no"]
+        order = ["kraken_genus_taxid", *[c for c in ("file", "line_no") if c in names]]
     else:
         quality = [-F.col("mapq")] if "mapq" in names else []
         order = [

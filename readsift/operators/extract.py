@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readsift.functions import id_base
+from readsift.operators.idfilter import keep_candidates
 from readsift.operators.joins import dimension_join
 from readsift.operators.prefix import BLOCK_ROWS, running_sum
 from readsift.operators.taxonomy import descendants, expand_taxa
@@ -44,15 +45,16 @@ def first_ids(
 ) -> DataFrame:
     """Distinct read ids per sample; with ``max_reads`` the first ones in file order.
 
+    File order is (file, line_no) where the rows name their file, else line_no.
     The n-th id is found by a running count over blocks of lines, so a large limit
     neither sorts a sample in one task nor passes it through the driver.
     """
     if max_reads is None:
         return selected.select("sample", "read_id")
-    ids = selected.groupBy("read_id", "sample").agg(F.min("line_no").alias("line_no"))
-    numbered = running_sum(
-        ids, ["sample"], ["line_no"], F.lit(1), "_n", tie=["read_id"], block=block
-    )
+    order = [c for c in ("file", "line_no") if c in selected.columns]
+    first = F.min(F.struct(*order)).alias("first")
+    ids = selected.groupBy("read_id", "sample").agg(first).select("read_id", "sample", "first.*")
+    numbered = running_sum(ids, ["sample"], order, F.lit(1), "_n", tie=["read_id"], block=block)
     return numbered.where(F.col("_n") <= max_reads).select("sample", "read_id")
 
 
@@ -61,7 +63,11 @@ def _mate_mark(full: Column, base: Column) -> Column:
 
 
 def match_reads(
-    reads: DataFrame, ids: DataFrame, target: Sequence[str] = (), anywhere: bool = False
+    reads: DataFrame,
+    ids: DataFrame,
+    target: Sequence[str] = (),
+    anywhere: bool = False,
+    prefilter: bool = True,
 ) -> DataFrame:
     """Reads whose id, or id without its mate mark, is among the ids of their sample.
 
@@ -69,6 +75,9 @@ def match_reads(
     the sequences in the shuffle. So reads are keyed by the id without mark, and each
     wanted id is listed under itself (fits every mark) and, if marked, under its base
     (fits that mark). One row per (sample, target, key) keeps a read from matching twice.
+
+    With ``prefilter`` the wanted keys are stored, and a bit filter in the scan of the reads
+    drops nearly all others, so only candidates are shuffled with their sequences.
     """
     base = id_base(F.col("read_id"), anywhere)
     plain = F.struct(F.col("read_id").alias("key"), F.lit("").alias("mark"))
@@ -94,9 +103,12 @@ def match_reads(
         )
     keyed = keyed.withColumnRenamed("sample", "_sample")
     read_key = id_base(F.col("id"), anywhere)
-    sided = reads.withColumn("_rkey", read_key).withColumn(
-        "_own", _mate_mark(F.col("id"), F.col("_rkey"))
-    )
+    sided = reads.withColumn("_rkey", read_key)
+    if prefilter:
+        keyed = stage(keyed, "wanted")
+        wanted = keyed.select(F.xxhash64("_key", "_sample").alias("h"))
+        sided = keep_candidates(sided, F.xxhash64("_rkey", "sample"), wanted)
+    sided = sided.withColumn("_own", _mate_mark(F.col("id"), F.col("_rkey")))
     cond = (F.col("_rkey") == F.col("_key")) & (F.col("sample") == F.col("_sample")) & ok
     how = "inner" if target else "left_semi"
     return sided.join(keyed, cond, how).select(*target, *reads.columns)
@@ -165,9 +177,13 @@ def extract_summary(
     """
     taxids = sorted(set(taxids))
     flagged = _flag(assignments, taxids, closure, children, parents, exclude)
+    order = [c for c in ("file", "line_no") if c in assignments.columns]
     counted = flagged.groupBy("sample", F.when(F.col("_wanted"), F.col("read_id")).alias("read_id"))
     by_id = stage(
-        counted.agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("line_no")), "ids"
+        counted.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first")).select(
+            "sample", "read_id", "n", "first.*"
+        ),
+        "ids",
     )
     ids = first_ids(by_id.where(F.col("read_id").isNotNull()), max_reads)
     found = match_reads(reads, ids, anywhere=anywhere)

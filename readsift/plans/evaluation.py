@@ -11,13 +11,14 @@ from readsift.operators import alignments as al
 from readsift.operators import coverage as cov
 from readsift.operators import verdict as vd
 from readsift.operators.dims import contig_offsets, contig_taxonomy
+from readsift.operators.order import sort_ranges, with_position
 from readsift.session import stage
 from readsift.sinks.writers import write_table
 
 
 # Columns that choose and place the first row of a read.
 PLACED_COLUMNS = (
-    "sample read kraken_genus_taxid line_no flag mapq accession start_position"
+    "sample read kraken_genus_taxid file line_no flag mapq accession start_position"
 ).split()
 
 
@@ -27,6 +28,14 @@ FIRST_COLUMNS = (
 ).split()
 
 
+PROFILE_ORDER = ["genome", "kraken_genus_taxid", "window"]
+
+
+def species_order() -> list:
+    """Rising reads; of equal ones by genus, then name, unnamed last."""
+    return [F.col("n"), F.col("kraken_genus_taxid"), F.col("name").asc_nulls_last()]
+
+
 @dataclass
 class Inputs:
     """Tables of a run; every one but the dimensions carries ``sample``."""
@@ -84,6 +93,15 @@ class Evaluation:
     def profile(self, by: str = "pair") -> DataFrame:
         return cov.judged_profile(self.counts, self.sizes, self.coverage(), self.nodes, by)
 
+    def sorted_species(self) -> DataFrame:
+        """The species table with each row's position in its sample."""
+        return with_position(self.species(), ["sample"], species_order())
+
+    def sorted_profile(self, by: str = "pair") -> DataFrame:
+        """The profile with each row's position in its sample."""
+        order = [c for c in PROFILE_ORDER if c != "kraken_genus_taxid" or by == "pair"]
+        return with_position(self.profile(by), ["sample"], [F.col(c) for c in order])
+
     def groupings(self) -> DataFrame:
         return vd.compare_groupings(self.genera, self.refined(), self.uniqued())
 
@@ -93,18 +111,24 @@ class Evaluation:
     def write(self, path: str, mode: str = "overwrite") -> None:
         """Refined, uniqued and species tables, profile and panels; one folder per sample each.
 
-        Tables of genera: a sample has few rows, and they belong in one file, in order.
+        Genera stand in the order of the report and species by rising reads. A sample has few of
+        either, and they belong in one file. A profile is as long as its genomes, so it is written
+        in sorted ranges, of which a sample may have several files.
         """
+        genera = [F.col("line_no")]
         tables = {
-            "refined": (self.refined(), ["clade_reads"]),
-            "uniqued": (self.uniqued(), ["clade_reads"]),
-            "species": (self.species(), ["n"]),
-            "panels": (self.groupings(), ["panel", "clade_reads"]),
-            "profile": (self.profile(), ["genome", "kraken_genus_taxid", "window"]),
+            "refined": (self.refined(), genera),
+            "uniqued": (self.uniqued(), genera),
+            "species": (self.species(), species_order()),
+            "panels": (self.groupings(), [F.col("panel"), F.col("clade_reads").desc(), F.col("name")]),
         }
         for name, (df, order) in tables.items():
-            names = [c for c in FIRST_COLUMNS if c in df.columns]
-            rest = [c for c in df.columns if c not in names and c != "line_no"]
-            by = [F.desc(c) if c in ("clade_reads", "n") else F.col(c) for c in order]
-            out = df.select(*names, *rest).repartition("sample").sortWithinPartitions("sample", *by)
-            write_table(out, f"{path.rstrip('/')}/{name}", mode, partition_by=["sample"])
+            out = df.repartition("sample").sortWithinPartitions("sample", *order)
+            self._write(out, f"{path.rstrip('/')}/{name}", mode)
+        profile = sort_ranges(self.profile(), ["sample", *PROFILE_ORDER])
+        self._write(profile, f"{path.rstrip('/')}/profile", mode)
+
+    def _write(self, df: DataFrame, path: str, mode: str) -> None:
+        names = [c for c in FIRST_COLUMNS if c in df.columns]
+        rest = [c for c in df.columns if c not in names and c != "line_no"]
+        write_table(df.select(*names, *rest), path, mode, partition_by=["sample"])

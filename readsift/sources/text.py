@@ -52,16 +52,29 @@ def path_part(pattern: str, group: int = 1) -> Column:
 def read_lines(
     spark: SparkSession, path: str, glob: str | None = None, path_pattern: str | None = None
 ) -> DataFrame:
-    """Lines of all files below a path: sample, path, line_no, line.
+    """Lines of all files below a path: sample, path, file, line_no, line.
 
-    The sample is the file's base name, or what the first group of ``path_pattern`` finds.
+    The sample is the file's base name, or what the first group of ``path_pattern`` finds. Lines of
+    several files are in order by (file, line_no), ``file`` being the path below the one read.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     rows = reader.text(path).select(F.col("value").alias("line"), *line_place())
     sample = path_part(path_pattern) if path_pattern else sample_of(F.col("path"))
-    return rows.withColumn("sample", sample)
+    return rows.withColumn("sample", sample).withColumn("file", _below(path))
+
+
+def _below(root: str) -> Column:
+    """The part of column ``path`` from the path that is read on, or all of it."""
+    at = F.locate(root.rstrip("/"), F.col("path"))
+    after = at + F.lit(len(root.rstrip("/")))
+    return F.when(at > 0, F.substr("path", after)).otherwise(F.col("path"))
+
+
+def _place(lines: DataFrame) -> list[str]:
+    """The columns that order lines, as far as the rows have them."""
+    return [c for c in ("file", "line_no") if c in lines.columns]
 
 
 def parse_assignments(lines: DataFrame) -> DataFrame:
@@ -69,7 +82,7 @@ def parse_assignments(lines: DataFrame) -> DataFrame:
     rows = lines.withColumn("f", F.split("line", "\t", -1)).where(F.size("f") >= 5)
     return rows.select(
         "sample",
-        "line_no",
+        *_place(lines),
         F.col("f")[0].alias("status"),
         F.col("f")[1].alias("read_id"),
         taxid_of(F.col("f")[2]).alias("taxid"),
@@ -105,13 +118,19 @@ def parse_report_tree(lines: DataFrame) -> DataFrame:
 
 
 def parse_report_table(lines: DataFrame) -> DataFrame:
-    """Report rows of eight named columns; text from ``#`` on is dropped, strings trimmed."""
+    """Report rows of eight named columns; text from ``#`` on is dropped, strings trimmed.
+
+    The level is half the number of spaces before the name, as in the tree form.
+    """
     rows = lines.withColumn("line", F.regexp_replace("line", "#.*$", ""))
     rows = rows.where(F.trim("line") != "").withColumn("f", F.split("line", "\t", -1))
 
     def field(i: int) -> Column:
         return F.trim(F.get("f", F.lit(i)))
 
+    name = F.get("f", F.lit(7))
+    spaces = F.length(name) - F.length(F.ltrim(name))
+
     return rows.select(
         "sample",
         "line_no",
@@ -123,6 +142,7 @@ def parse_report_table(lines: DataFrame) -> DataFrame:
         field(5).alias("tax_rank"),
         field(6).cast("int").alias("taxid"),
         field(7).alias("name"),
+        F.floor(spaces / 2).cast("int").alias("level_num"),
     )
 
 
@@ -149,7 +169,7 @@ def parse_alignments(lines: DataFrame) -> DataFrame:
     return mapped_only(
         rows.select(
             "sample",
-            "line_no",
+            *_place(lines),
             F.col("f")[0].alias("read"),
             F.col("f")[1].cast("int").alias("flag"),
             F.col("f")[2].alias("accession"),
@@ -176,10 +196,11 @@ def read_alignments(
 
 
 def read_contig_genomes(spark: SparkSession, path: str) -> DataFrame:
-    """Contig to genome table, with a header line."""
-    return spark.read.schema("accession string, genome string").csv(
-        path, sep="\t", header=True, quote=""
+    """Contig to genome table, with a header line; NA and an empty genome are NULL."""
+    rows = spark.read.schema("accession string, genome string").csv(
+        path, sep="\t", header=True, quote="", nullValue="NA"
     )
+    return rows.withColumn("genome", F.nullif("genome", F.lit("")))
 
 
 def read_contig_lengths(spark: SparkSession, path: str) -> DataFrame:

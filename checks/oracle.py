@@ -204,6 +204,13 @@ select sample, id, seq from fx_reads
 where (sample, id) in (select sample, read_id from {{ids}})
    or (sample, {_BASE}) in (select sample, read_id from {{ids}})"""
 
+_SUMMARY = f"""
+select sample, (select count(*) from o_children c where c.sample = s.sample) as taxids,
+       (select count(*) from fx_assignments a where a.sample = s.sample) as assignments,
+       (select count(*) from o_ids i where i.sample = s.sample) as ids,
+       (select count(*) from ({_READS_BY_ID.format(ids="o_ids")}) r where r.sample = s.sample) as reads
+from o_samples s"""
+
 _EVENT_COUNTS = f"""
 select entity, grp, cast(floor(position / {EVENT_WIDTH}) as bigint) + 1 as "window", count(*) as reads
 from fx_event_points group by all"""
@@ -292,12 +299,8 @@ join o_genus_ids a on a.sample = r.sample and a.read_id = r.base""",
     "taxon_counts": """
 select sample, taxid, count(*) as n from fx_assignments
 where (sample, taxid) in (select sample, taxid from o_children) group by all""",
-    "extract_summary": f"""
-select sample, (select count(*) from o_children c where c.sample = s.sample) as taxids,
-       (select count(*) from fx_assignments a where a.sample = s.sample) as assignments,
-       (select count(*) from o_ids i where i.sample = s.sample) as ids,
-       (select count(*) from ({_READS_BY_ID.format(ids="o_ids")}) r where r.sample = s.sample) as reads
-from o_samples s""",
+    "extract_summary": _SUMMARY,
+    "written_summary": _SUMMARY,
     "place_reads": "select * from o_placed",
     "window_counts": "select * from o_counts",
     "genome_sizes": "select * from o_sizes",
@@ -336,6 +339,9 @@ select r.sample, r.taxid, r.clade_reads, r.taxon_reads, 100.0::double * r.clade_
 from fx_report r join (select sample, count(*) as n from fx_assignments group by sample) t on t.sample = r.sample""",
     "kmer_index": "select kmer, taxid from o_genome_index",
     "classify_reads": "select * from o_classified",
+    "clade_kmers_estimated": """
+select f.sample, t.ancestor as taxid, count(*) as n_kmers, count(distinct f.kmer) as n_unique_kmers, true as close
+from o_found f join o_database t on t.descendant = f.taxid group by all""",
     "clade_report_kmers": """
 select r.sample, r.taxid, r.clade_reads, r.taxon_reads, coalesce(k.n_kmers, 0) as n_kmers,
        coalesce(k.n_unique_kmers, 0) as n_unique_kmers

@@ -28,6 +28,8 @@ MAX_READS = 25
 EVENT_KEYS = ["entity", "grp"]
 EVENT_WIDTH = 60
 K = 31
+# Six standard errors of a sketch.
+ESTIMATE_ERROR = 0.05
 # Letters of a chunk, fewer than a contig has.
 CHUNK = 1500
 SAMPLE_FOLDER = r"sample=([^/]+)/"
@@ -300,6 +302,28 @@ def clade_report_kmers(s: Standins) -> DataFrame:
     return s.classifier().report(s.kmer_reads).drop("percentage")
 
 
+def clade_kmers_estimated(s: Standins) -> DataFrame:
+    """Distinct k-mers of clades over two runs, by stored sketches, held against exact counts."""
+    classifier, path = s.classifier(), staging_path(s.spark, "sketches")
+    first = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+    runs = [classifier.add_run(s.kmer_reads.where(part), path) for part in (first, ~first)]
+    both = runs[0].found.unionByName(runs[1].found)
+    exact = kmer.clade_kmers(both, classifier.closure)
+    exact = exact.select("sample", "taxid", F.col("n_unique_kmers").alias("exact"))
+    off = F.abs(F.col("n_unique_kmers") - F.col("exact"))
+    return classifier.clades_over_runs(path).join(exact, ["sample", "taxid"]).select(
+        "sample", "taxid", "n_kmers", F.col("exact").alias("n_unique_kmers"),
+        (off <= F.col("exact") * ESTIMATE_ERROR).alias("close"),
+    )
+
+
+def written_summary(s: Standins) -> DataFrame:
+    """The summary that the job which writes the reads has counted."""
+    reads = s.reads.withColumn("description", F.col("id"))
+    run = Extraction(s.assignments, reads, s.report)
+    return run.write(TAXIDS, staging_path(s.spark, "written"), children=True)
+
+
 def taxa_frame(s: Standins) -> DataFrame:
     return s.report.select("sample").distinct().select("sample", F.explode(F.array(*map(F.lit, TAXIDS))).alias("taxid"))
 
@@ -354,6 +378,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "extract_all_genera": lambda s: extraction(s).all_genera(),
     "taxon_counts": lambda s: extract.taxon_counts(extraction(s).select(TAXIDS, children=True)),
     "extract_summary": lambda s: extraction(s).summary(TAXIDS, children=True),
+    "written_summary": written_summary,
     # coverage
     "place_reads": place_reads,
     "window_counts": lambda s: s.evaluation().counts,
@@ -380,6 +405,7 @@ QUERIES: dict[str, Callable[[Standins], DataFrame]] = {
     "kmer_index": kmer_index,
     "classify_reads": classify_reads,
     "clade_report_kmers": clade_report_kmers,
+    "clade_kmers_estimated": clade_kmers_estimated,
 }
 
 

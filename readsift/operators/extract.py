@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from readsift.functions import id_base
@@ -13,6 +13,10 @@ from readsift.operators.joins import dimension_join
 from readsift.operators.prefix import BLOCK_ROWS, running_sum
 from readsift.operators.taxonomy import descendants, expand_taxa
 from readsift.session import stage
+from readsift.sinks.writers import count_written, write_reads
+
+# Samples whose reads are counted by the job that writes them.
+OBSERVED = 200
 
 
 def select_assignments(
@@ -159,6 +163,46 @@ def extract_all(
     )
 
 
+class _Request:
+    """The ids that a request selects, from one pass over the assignments.
+
+    Assignments are added up by wanted id, all others to one row per sample and task, and
+    stored for the counts and for the match.
+    """
+
+    def __init__(self, assignments, taxids, closure, children, parents, exclude, max_reads):
+        self.taxids, self.closure = sorted(set(taxids)), closure
+        self.children, self.parents = children, parents
+        flagged = _flag(assignments, self.taxids, closure, children, parents, exclude)
+        order = [c for c in ("file", "line_no") if c in assignments.columns]
+        wanted = F.when(F.col("_wanted"), F.col("read_id")).alias("read_id")
+        counted = flagged.groupBy("sample", wanted).agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first")
+        )
+        self.by_id = stage(counted.select("sample", "read_id", "n", "first.*"), "ids")
+        self.ids = first_ids(self.by_id.where(F.col("read_id").isNotNull()), max_reads)
+
+    def summary(self, reads: DataFrame) -> DataFrame:
+        """Counts per sample; ``reads`` has sample and ``_reads``, the reads found."""
+        out = self.by_id.groupBy("sample").agg(F.sum("n").alias("assignments"))
+        if self.children or self.parents:
+            more = expand_taxa(self.closure, self.taxids, self.children, self.parents)
+            more = more.groupBy("sample").agg(F.count(F.lit(1)).alias("_more"))
+            out = out.join(more, "sample", "left")
+        else:
+            out = out.withColumn("_more", F.lit(0))
+        ids = self.ids.groupBy("sample").agg(F.count_distinct("read_id").alias("_ids"))
+        out = out.join(ids, "sample", "left").join(reads, "sample", "left")
+        taxids = F.coalesce("_more", F.lit(0)) + F.lit(len(self.taxids))
+        return out.select(
+            "sample",
+            taxids.cast("long").alias("taxids"),
+            "assignments",
+            F.coalesce("_ids", F.lit(0)).alias("ids"),
+            F.coalesce("_reads", F.lit(0)).cast("long").alias("reads"),
+        )
+
+
 def extract_summary(
     assignments: DataFrame,
     reads: DataFrame,
@@ -170,36 +214,43 @@ def extract_summary(
     max_reads: int | None = None,
     anywhere: bool = False,
 ) -> DataFrame:
-    """Per sample: taxa asked for, assignments read, ids kept, reads selected.
+    """Per sample: taxa asked for, assignments read, ids kept, reads selected."""
+    asked = _Request(assignments, taxids, closure, children, parents, exclude, max_reads)
+    found = match_reads(reads, asked.ids, anywhere=anywhere)
+    return asked.summary(found.groupBy("sample").agg(F.count(F.lit(1)).alias("_reads")))
+
+
+def extract_and_write(
+    assignments: DataFrame,
+    reads: DataFrame,
+    taxids: Sequence[int],
+    path: str,
+    closure: DataFrame | None = None,
+    children: bool = False,
+    parents: bool = False,
+    exclude: bool = False,
+    max_reads: int | None = None,
+    anywhere: bool = False,
+    fmt: str = "fasta",
+    mode: str = "overwrite",
+) -> DataFrame:
+    """Write the reads of a request, one folder per sample (and mate), and give its summary.
 
-    Assignments are read once: added up by wanted id, all others to one row per sample and
-    task, and stored for the counts and for the match.
+    Reads are counted by the job that writes them, as observed metrics, so they are matched
+    once. Each sample is a metric; of more than ``OBSERVED`` samples, the written records are
+    counted instead.
     """
-    taxids = sorted(set(taxids))
-    flagged = _flag(assignments, taxids, closure, children, parents, exclude)
-    order = [c for c in ("file", "line_no") if c in assignments.columns]
-    counted = flagged.groupBy("sample", F.when(F.col("_wanted"), F.col("read_id")).alias("read_id"))
-    by_id = stage(
-        counted.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first")).select(
-            "sample", "read_id", "n", "first.*"
-        ),
-        "ids",
-    )
-    ids = first_ids(by_id.where(F.col("read_id").isNotNull()), max_reads)
-    found = match_reads(reads, ids, anywhere=anywhere)
-    out = by_id.groupBy("sample").agg(F.sum("n").alias("assignments"))
-    if children or parents:
-        more = expand_taxa(closure, taxids, children, parents)
-        out = out.join(more.groupBy("sample").agg(F.count(F.lit(1)).alias("_more")), "sample", "left")
-    else:
-        out = out.withColumn("_more", F.lit(0))
-    out = out.join(
-        ids.groupBy("sample").agg(F.count_distinct("read_id").alias("_ids")), "sample", "left"
-    ).join(found.groupBy("sample").agg(F.count(F.lit(1)).alias("_reads")), "sample", "left")
-    return out.select(
-        "sample",
-        (F.coalesce("_more", F.lit(0)) + F.lit(len(taxids))).cast("long").alias("taxids"),
-        "assignments",
-        F.coalesce("_ids", F.lit(0)).alias("ids"),
-        F.coalesce("_reads", F.lit(0)).alias("reads"),
-    )
+    asked = _Request(assignments, taxids, closure, children, parents, exclude, max_reads)
+    found = match_reads(reads, asked.ids, anywhere=anywhere)
+    keys = [c for c in ("sample", "mate") if c in found.columns]
+    samples = [r.sample for r in asked.by_id.select("sample").distinct().limit(OBSERVED + 1).collect()]
+    spark = reads.sparkSession
+    if len(samples) > OBSERVED:
+        write_reads(found, path, fmt, mode, partition_by=keys)
+        return asked.summary(count_written(spark, path, fmt))
+    seen = Observation()
+    counts = [F.count_if(F.col("sample").eqNullSafe(s)).alias(f"s{k}") for k, s in enumerate(samples)]
+    write_reads(found.observe(seen, *counts) if counts else found, path, fmt, mode, partition_by=keys)
+    got = seen.get if counts else {}
+    rows = [(s, got[f"s{k}"]) for k, s in enumerate(samples)]
+    return asked.summary(spark.createDataFrame(rows, "sample string, _reads long"))

@@ -260,7 +260,16 @@ def clade_report(
     )
     if found is None:
         return out
-    # a k-mer stands for one taxon, so distinct k-mers of a clade are the sum over its taxa
+    zero = {"n_kmers": 0, "n_unique_kmers": 0}
+    by_clade = clade_kmers(found, closure, approximate)
+    return out.join(by_clade, ["sample", "taxid"], "left").fillna(zero)
+
+
+def clade_kmers(found: DataFrame, closure: DataFrame, approximate: bool = False) -> DataFrame:
+    """k-mers and distinct k-mers of every clade that has any, of the rows of ``kmer_matches``.
+
+    A k-mer stands for one taxon, so the distinct k-mers of a clade are the sum over its taxa.
+    """
     known = found.select("sample", "taxid", "kmer", F.size("rows").cast("long").alias("n"))
     if approximate:
         sums = known.groupBy("sample", "taxid").agg(
@@ -271,10 +280,12 @@ def clade_report(
         sums = each.groupBy("sample", "taxid").agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_unique")
         )
-    by_clade = (
+    on = ["sample", "taxid"] if "sample" in closure.columns else ["taxid"]
+    tree = closure.select(
+        *on[:-1], F.col("ancestor").alias("clade"), F.col("descendant").alias("taxid")
+    )
+    return (
         dimension_join(sums, tree, on, how="inner")
         .groupBy("sample", F.col("clade").alias("taxid"))
         .agg(F.sum("n").alias("n_kmers"), F.sum("n_unique").alias("n_unique_kmers"))
     )
-    zero = {"n_kmers": 0, "n_unique_kmers": 0}
-    return out.join(by_clade, ["sample", "taxid"], "left").fillna(zero)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from readsift.operators import kmer
+from readsift.operators import kmer, sketches
 from readsift.session import stage
 
 
@@ -45,3 +45,14 @@ class Classifier:
         matches = self.matches(reads)
         calls = stage(kmer.classify_matches(matches, self.closure, confidence), "calls")
         return kmer.clade_report(calls, self.closure, matches.found)
+
+    def add_run(self, reads: DataFrame, path: str) -> kmer.Matches:
+        """Look up the reads of a run and add its k-mer sketches to those stored at a path."""
+        matches = self.matches(reads)
+        sketches.add_run(sketches.kmer_sketches(matches.found), path)
+        return matches
+
+    def clades_over_runs(self, path: str, by: tuple[str, ...] = ("sample",)) -> DataFrame:
+        """k-mers and estimated distinct k-mers per clade, over all runs stored at a path."""
+        runs = sketches.read_runs(self.closure.sparkSession, path)
+        return sketches.estimated(sketches.clade_sketches(runs, self.closure, by))

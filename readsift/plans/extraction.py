@@ -33,6 +33,12 @@ class Extraction:
     def summary(self, taxids: Sequence[int], **options) -> DataFrame:
         return extract.extract_summary(self.assignments, self.reads, taxids, self.closure, **options)
 
+    def write(self, taxids: Sequence[int], path: str, **options) -> DataFrame:
+        """Write the reads of the taxa and give the summary, counted while writing."""
+        return extract.extract_and_write(
+            self.assignments, self.reads, taxids, path, self.closure, **options
+        )
+
     def all_genera(self) -> DataFrame:
         """Reads of every genus of the reports, each with its descendants."""
         targets = target_genera(self.report)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -56,6 +56,20 @@ def write_reads(
     writer.text(path)
 
 
+def count_written(spark: SparkSession, path: str, fmt: str = "fasta") -> DataFrame:
+    """Records per sample of reads written with a folder per sample: sample, ``_reads``.
+
+    Of FASTQ records the four lines are counted, of FASTA records the headers.
+    """
+    lines = spark.read.option("recursiveFileLookup", "true").text(path)
+    sample = F.regexp_extract("_metadata.file_path", r"/sample=([^/]*)/", 1)
+    counted = lines.groupBy(F.url_decode(sample).alias("sample")).agg(
+        F.count_if(F.col("value").startswith(">")).alias("headers"), F.count(F.lit(1)).alias("lines")
+    )
+    n = F.col("headers") if fmt == "fasta" else F.floor(F.col("lines") / 4)
+    return counted.select("sample", n.cast("long").alias("_reads"))
+
+
 def write_table(
     df: DataFrame,
     path: str,

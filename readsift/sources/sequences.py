@@ -20,6 +20,10 @@ from readsift.sources.text import line_place, path_part, sample_of
 
 RANGE_BYTES = 64 << 20
 CHUNK_BYTES = 4 << 20
+# Ranges the driver lists; beyond that, ranges become longer.
+MAX_RANGES = 100_000
+
+_SEQUENCE = re.compile(rb"[A-Za-z.*-]*")
 
 FASTQ_SCHEMA = StructType(
     [
@@ -72,8 +76,8 @@ def _open(root: str, path: str):
     return filesystem.open_input_file(path)
 
 
-def _line_chunks(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
-    """Lines from the first line start in the range on, with their byte offset.
+def _line_blocks(part: FileRange) -> Iterator[tuple[int, bytes]]:
+    """Whole lines from the first line start in the range on, block by block, with their offset.
 
     Goes on past the end of the range; the caller stops where it has enough.
     """
@@ -97,103 +101,194 @@ def _line_chunks(part: FileRange) -> Iterator[tuple[int, list[bytes]]]:
             data = tail + block
             if not block:
                 if data:
-                    yield offset, data.split(b"\n") if not data.endswith(b"\n") else data[
-                        :-1
-                    ].split(b"\n")
+                    yield offset, data if data.endswith(b"\n") else data + b"\n"
                 return
-            cut = data.rfind(b"\n")
-            if cut < 0:
-                tail = data
-                continue
-            yield offset, data[:cut].split(b"\n")
-            offset, tail = offset + cut + 1, data[cut + 1 :]
+            cut = data.rfind(b"\n") + 1
+            if cut:
+                yield offset, data[:cut]
+            offset, tail = offset + cut, data[cut:]
+
+
+class _Lines:
+    """Lines of a block without copies: where each starts and ends, a carriage return left out."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.letters = np.frombuffer(data, np.uint8)
+        ends = np.flatnonzero(self.letters == 10)
+        self.start = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)[: len(ends)]
+        back = (ends > self.start) & (self.letters[np.maximum(ends, 1) - 1] == 13)
+        self.end = ends - back
+        self.next = ends + 1
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.data[self.start[i] : self.end[i]]
+
+    def first(self, lines: slice) -> np.ndarray:
+        """The first byte of lines; a line break where a line is empty."""
+        return self.letters[self.start[lines]]
+
+    def length(self, lines: slice) -> np.ndarray:
+        return self.end[lines] - self.start[lines]
+
+    def text(self, lines: np.ndarray, skip: int = 0) -> pa.Array:
+        """These lines as strings, without their first ``skip`` bytes."""
+        size = self.end[lines] - self.start[lines] - skip
+        ends = np.concatenate([[0], np.cumsum(size)])
+        places = np.arange(ends[-1]) + np.repeat(self.start[lines] + skip - ends[:-1], size)
+        buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(self.letters[places])]
+        return pa.LargeStringArray.from_buffers(len(lines), *buffers[1:]).cast(pa.string())
+
+
+@dataclass
+class _Record:
+    """A record over any number of lines; ``after`` is the line that follows it."""
+
+    line: int
+    seq: bytes
+    qual: bytes
+    after: int
 
 
-def _first_record(lines: list[bytes]) -> int | None:
-    """First line that opens a record: ``@`` there and ``+`` two lines on.
+def _record(lines: _Lines, i: int, strict: bool = False) -> _Record | str | None:
+    """The record that line ``i`` opens, None if the lines end within it, else what is wrong.
 
-    A quality line may start with ``@`` too, but two lines on from it stands a sequence.
+    Sequence lines last until a line that starts with ``+``, and quality lines until they are as
+    long as the sequence, so a quality line may start with any mark. ``strict`` allows
+    letters, dots, stars and dashes only in the sequence.
     """
-    for i in range(min(len(lines) - 2, 8)):
-        if lines[i].startswith(b"@") and lines[i + 2].startswith(b"+"):
+    if not lines[i].startswith(b"@"):
+        return "a record starts with @"
+    seq, j = [], i + 1
+    while j < len(lines) and not lines[j].startswith(b"+"):
+        if strict and not _SEQUENCE.fullmatch(lines[j]):
+            return "not a sequence"
+        seq.append(lines[j])
+        j += 1
+    if strict and not seq:
+        return "not a sequence"
+    total = sum(map(len, seq))
+    qual, held, j = [], 0, j + 1
+    while j < len(lines) and (held < total or not qual):
+        if not total and lines[j]:
+            break  # an empty record may do without a quality line
+        qual.append(lines[j])
+        held += len(lines[j])
+        j += 1
+    if held > total:
+        return "sequence and quality differ in length"
+    if j > len(lines) or held < total or not qual and j == len(lines):
+        return None
+    return _Record(i, b"".join(seq), b"".join(qual), j)
+
+
+def _first_record(lines: _Lines, ended: bool) -> int | None:
+    """First line that opens a record which another follows; None if more lines are needed.
+
+    A quality line may start with ``@`` too, but then no sequence and quality of one length follow
+    it up to the next ``@``, unless qualities imitate a whole record.
+    """
+    for i in range(len(lines)):
+        found = _record(lines, i, strict=True)
+        if isinstance(found, str):
+            continue
+        if found is None or found.after >= len(lines):
+            return i if ended and found is not None else (None if not ended else -1)
+        after = _record(lines, found.after, strict=True)
+        if after is None and not ended:
+            return None
+        if not isinstance(after, str):
             return i
-    return None
+    return -1 if ended else None
+
+
+def _batch(part: FileRange, start, heads, seq, qual) -> pa.RecordBatch:
+    path = pa.array([part.path]).take(pa.array(np.zeros(len(start), np.int32)))
+    columns = [path, pa.array(start, pa.int64()), heads, seq, qual]
+    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_FASTQ)
+
+
+def _parse(part: FileRange, lines: _Lines, offset: int, ended: bool):
+    """Batches of the records in the lines, lines used, and whether the range's end was reached.
+
+    Records of four lines are found and checked all at once; from the first other one on they
+    are read one by one.
+    """
+    n = len(lines) // 4
+    four = slice(0, 4 * n, 4), slice(1, 4 * n, 4), slice(2, 4 * n, 4), slice(3, 4 * n, 4)
+    fit = (lines.first(four[0]) == 64) & (lines.first(four[2]) == 43)
+    fit &= lines.length(four[1]) == lines.length(four[3])
+    whole = n if fit.all() else int(np.argmin(fit))
+    starts = offset + lines.start[: 4 * whole : 4]
+    zipped = part.path.endswith(".gz")
+    inside = whole if zipped else int(np.searchsorted(starts, part.end))
+    batches, at = [], 4 * np.arange(inside)
+    if inside:
+        parts = lines.text(at, 1), lines.text(at + 1), lines.text(at + 3)
+        batches.append(_batch(part, starts[:inside], *parts))
+    if inside < whole:
+        return batches, 4 * inside, True
+    i, rows, done = 4 * whole, [], False
+    while i < len(lines):
+        place = offset + int(lines.start[i])
+        if not zipped and place >= part.end:
+            done = True
+            break
+        if whole == n and not ended and len(lines) - i < 4:
+            break  # the rest of a four-line record comes with the next block
+        if not lines[i] and (ended and not any(lines[k] for k in range(i, len(lines)))):
+            i = len(lines)
+            break
+        found = _record(lines, i)
+        if isinstance(found, str):
+            raise ValueError(f"{part.path}: {found} ({lines[i][:40]!r})")
+        if found is None or found.after == len(lines) and not ended and not found.qual:
+            if ended:
+                raise ValueError(f"{part.path}: last record is cut short")
+            break
+        rows.append((place, lines[i][1:].decode(), found.seq.decode(), found.qual.decode()))
+        i = found.after
+    if rows:
+        start, *texts = zip(*rows, strict=True)
+        batches.append(_batch(part, start, *[pa.array(x, pa.string()) for x in texts]))
+    return batches, i, done
 
 
 def read_range(part: FileRange) -> Iterator[pa.RecordBatch]:
     """Records whose header starts inside the range, as Arrow batches."""
-    lines: list[bytes] = []
-    offset = part.start
-    synced = part.start == 0
-    first = True
-    for at, more in _line_chunks(part):
-        if first:
-            offset, first = at, False
-            if part.start == 0 and not more[0].startswith(b"@"):
+    blocks = _line_blocks(part)
+    held, offset, synced, ended = b"", None, part.start == 0, False
+    while not ended:
+        at, data = next(blocks, (None, b""))
+        ended = at is None
+        if offset is None:
+            if ended:
+                return
+            offset = at
+            if part.start == 0 and not data.startswith(b"@"):
                 raise ValueError(f"{part.path}: not a FASTQ file")
-        lines += more
+        held += data
+        lines = _Lines(held)
         if not synced:
-            if len(lines) < 11:
+            first = _first_record(lines, ended)
+            if first is None:
                 continue
-            skip = _first_record(lines)
-            if skip is None:
-                raise ValueError(f"{part.path}: no FASTQ record near byte {offset}")
-            offset += sum(len(x) + 1 for x in lines[:skip])
-            lines, synced = lines[skip:], True
-        whole = len(lines) // 4 * 4
-        batch, offset, done = _to_batch(part, lines[:whole], offset)
-        if batch.num_rows:
-            yield batch
+            if first < 0:
+                if part.start and len(held) > 2 * CHUNK_BYTES:
+                    raise ValueError(f"{part.path}: no FASTQ record near byte {offset}")
+                return
+            skip = int(lines.start[first])
+            held, offset, synced = held[skip:], offset + skip, True
+            lines = _Lines(held)
+        batches, used, done = _parse(part, lines, offset, ended)
+        yield from batches
         if done:
             return
-        lines = lines[whole:]
-    if not synced:
-        skip = _first_record(lines)
-        if skip is None:
-            return
-        offset += sum(len(x) + 1 for x in lines[:skip])
-        lines = lines[skip:]
-    while lines and not lines[-1].strip():
-        lines.pop()
-    if len(lines) % 4 == 3:
-        lines.append(b"")
-    if len(lines) % 4:
-        raise ValueError(f"{part.path}: last record is cut short")
-    batch, _, _ = _to_batch(part, lines, offset)
-    if batch.num_rows:
-        yield batch
-
-
-def _to_batch(part: FileRange, lines: list[bytes], offset: int):
-    """Batch of the records that start before the range's end, and whether it was reached."""
-    heads = lines[0::4]
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines)) + 1
-    ends = offset + np.cumsum(sizes)
-    starts = (ends - sizes)[0::4]
-    zipped = part.path.endswith(".gz")
-    inside = len(starts) if zipped else int(np.searchsorted(starts, part.end))
-    for head, plus in zip(heads[:inside], lines[2 : 4 * inside : 4]):
-        if head[:1] != b"@" or plus[:1] != b"+":
-            raise ValueError(f"{part.path}: records must have four lines ({head[:40]!r})")
-    uneven = np.flatnonzero(sizes[1 : 4 * inside : 4] != sizes[3 : 4 * inside : 4])
-    for i in uneven.tolist():
-        if len(lines[4 * i + 1].rstrip(b"\r")) != len(lines[4 * i + 3].rstrip(b"\r")):
-            raise ValueError(f"{part.path}: sequence and quality differ in length ({heads[i][:40]!r})")
-
-    def text(parts: list[bytes]) -> pa.Array:
-        return pa.array([p.rstrip(b"\r").decode() for p in parts], pa.string())
-
-    batch = pa.RecordBatch.from_arrays(
-        [
-            pa.array([part.path] * inside, pa.string()),
-            pa.array(starts[:inside]),
-            text([h[1:] for h in heads[:inside]]),
-            text(lines[1 : 4 * inside : 4]),
-            text(lines[3 : 4 * inside : 4]),
-        ],
-        schema=_ARROW_FASTQ,
-    )
-    return batch, int(ends[-1]) if len(ends) else offset, inside < len(starts)
+        skip = int(lines.next[used - 1]) if used else 0
+        held, offset = held[skip:], offset + skip
 
 
 class FastqReader(DataSourceReader):
@@ -202,9 +297,10 @@ class FastqReader(DataSourceReader):
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
 
     def partitions(self):
-        parts = []
-        for f in list_files(self.path):
-            step = max(f.size, 1) if f.path.endswith(".gz") else self.range_bytes
+        parts, files = [], list_files(self.path)
+        length = max(self.range_bytes, sum(f.size for f in files) // MAX_RANGES)
+        for f in files:
+            step = max(f.size, 1) if f.path.endswith(".gz") else length
             for start in range(0, f.size, step):
                 parts.append(FileRange(self.path, f.path, start, min(start + step, f.size)))
         return parts or [FileRange(self.path, "", 0, 0)]
@@ -215,7 +311,7 @@ class FastqReader(DataSourceReader):
 
 
 class FastqSource(DataSource):
-    """Four-line FASTQ records; plain files are split, gzipped ones read whole."""
+    """FASTQ records, wrapped or not; plain files are split, gzipped ones read whole."""
 
     @classmethod
     def name(cls):

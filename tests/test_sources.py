@@ -1,4 +1,5 @@
 import gzip
+import random
 import sqlite3
 
 import pytest
@@ -46,6 +47,42 @@ def test_fastq_in_ranges_of_any_size(tmp_path, size):
     assert [r["line_no"] for r in got] == sorted({r["line_no"] for r in got})
 
 
+def wrapped(seed, n):
+    """Records over several lines, with qualities that look like headers and separators."""
+    rng = random.Random(seed)
+    text, want = [], []
+    for i in range(n):
+        seq = "".join(rng.choices("ACGTN", k=rng.choice([1, 3, 8, 20, 61])))
+        qual = "".join(rng.choices("@+AI#", k=len(seq)))
+        width = rng.choice([4, 7, 100])
+        cut = lambda x: [x[k : k + width] for k in range(0, len(x), width)]
+        text += [f"@w{i} x", *cut(seq), rng.choice(["+", f"+w{i}"]), *cut(qual)]
+        want.append((f"w{i} x", seq, qual))
+    return text, want
+
+
+@pytest.mark.parametrize("seed,size,chunk,newline", [
+    (1, 10_000, 1 << 20, "\n"), (2, 50, 1 << 20, "\n"), (3, 7, 64, "\r\n"), (4, 333, 20, "\n"), (5, 90, 33, "\r\n")])
+def test_wrapped_fastq_in_ranges_of_any_size(tmp_path, monkeypatch, seed, size, chunk, newline):
+    monkeypatch.setattr(sequences, "CHUNK_BYTES", chunk)
+    text, want = wrapped(seed, 80)
+    path = write(tmp_path / "w.fastq", newline.join(text) + newline * (seed % 2))
+    reader = sequences.FastqReader({"path": path, "rangebytes": str(size)})
+    got = [r for part in reader.partitions() for batch in reader.read(part) for r in batch.to_pylist()]
+    assert [(r["description"], r["seq"], r["qual"]) for r in got] == want
+    raw = open(path, "rb").read()
+    assert all(raw[r["line_no"] :].startswith(b"@" + r["description"].encode()) for r in got)
+
+
+@pytest.mark.parametrize("text,error", [
+    ("@a\nACGT\n+\nIIIII\n", "differ in length"), ("@a\nAC\nGT\n+\nII\n", "cut short"),
+    ("@a\nAC\n+\nII\nb\nAC\n+\nII\n", "starts with @"), ("a\nAC\n+\nII\n", "not a FASTQ")])
+def test_broken_fastq(tmp_path, text, error):
+    reader = sequences.FastqReader({"path": write(tmp_path / "b.fastq", text)})
+    with pytest.raises(ValueError, match=error):
+        [b for part in reader.partitions() for b in reader.read(part)]
+
+
 @pytest.mark.parametrize("zipped,newline", [(False, "\n"), (False, "\r\n"), (True, "\n")])
 def test_fastq_by_spark(spark, tmp_path, zipped, newline):
     name = "smp.fastq.gz" if zipped else "smp.fastq"
@@ -111,7 +148,7 @@ def test_report_tree_of_six_and_eight_fields(spark, tmp_path):
 def test_report_table_cuts_comments_and_trims(spark, tmp_path):
     lines = "#all\n 50.00\t100\t20\t1000\t700\tG\t107\t    Genus7 # note\n\n"
     rows = text.read_report(spark, write(tmp_path / "s.report", lines))
-    assert plain(rows.drop("line_no")) == [("s", 50.0, 100, 20, 1000, 700, "G", 107, "Genus7")]
+    assert plain(rows.drop("line_no")) == [("s", 50.0, 100, 20, 1000, 700, "G", 107, "Genus7", 2)]
 
 
 def test_alignments_of_all_samples_in_one_scan(spark, tmp_path):

@@ -1,37 +1,4 @@
-"""Fixed schemas of the relations, and the column names of the written tables."""
-
-from pyspark.sql.types import (
-    DoubleType,
-    IntegerType,
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-)
-
-
-def _schema(**fields) -> StructType:
-    return StructType([StructField(name, kind) for name, kind in fields.items()])
-
-
-S, I, L, D = StringType(), IntegerType(), LongType(), DoubleType()
-
-READS = _schema(sample=S, mate=I, id=S, description=S, seq=S, qual=S)
-ASSIGNMENTS = _schema(
-    sample=S, line_no=L, status=S, read_id=S, taxid=I, length=S, hits=S
-)
-REPORT = _schema(
-    sample=S, line_no=L, percentage=D, clade_reads=L, taxon_reads=L, n_kmers=L,
-    n_unique_kmers=L, tax_rank=S, taxid=I, level_num=I, name=S,
-)
-ALIGNMENTS = _schema(
-    sample=S, line_no=L, read=S, flag=I, accession=S, start_position=L, mapq=I,
-    cigar=S, kraken_genus_taxid=S,
-)
-CONTIG_LENGTHS = _schema(accession=S, contig_length=L, contig_no=L)
-CONTIG_GENOMES = _schema(accession=S, genome=S)
-GENOMES = _schema(genome=S, id=I)
-NODES = _schema(id=I, name=S)
+"""The column names of the written tables."""
 
 # Header names of the written tables.
 TABLE_HEADERS = {

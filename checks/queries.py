@@ -307,7 +307,7 @@ def clade_kmers_estimated(s: Standins) -> DataFrame:
     classifier, path = s.classifier(), staging_path(s.spark, "sketches")
     first = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
     runs = [classifier.add_run(s.kmer_reads.where(part), path) for part in (first, ~first)]
-    both = runs[0].found.unionByName(runs[1].found)
+    both = runs[0].kmers().unionByName(runs[1].kmers())
     exact = kmer.clade_kmers(both, classifier.closure)
     exact = exact.select("sample", "taxid", F.col("n_unique_kmers").alias("exact"))
     off = F.abs(F.col("n_unique_kmers") - F.col("exact"))

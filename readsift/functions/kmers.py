@@ -7,7 +7,6 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -134,35 +133,45 @@ def count_kmers(df: DataFrame, k: int, seq: str = "seq", out: str = "n_kmers") -
 
 
 def kmer_lists(df: DataFrame, k: int, number: str, by: str, seq: str = "seq") -> DataFrame:
-    """Inverted lists: ``by``, ``kmer`` and ``rows``, the numbers of the rows that hold the k-mer.
+    """Inverted lists: ``by``, ``kmer``, ``row`` and ``more``, the numbers of the rows that hold it.
 
-    One row per distinct k-mer and value of ``by`` in each slice of an Arrow batch, in place of
-    one per occurrence; a row that holds a k-mer twice is listed twice.
+    One row per distinct k-mer and value of the whole number ``by`` in each slice of an Arrow
+    batch, in place of one per occurrence; a row that holds a k-mer twice is listed twice.
+    ``more`` is NULL where there is one row only, as for most k-mers, so that these take up four
+    numbers and nothing of variable length.
     """
-    source = df.select(F.col(by).cast("string").alias(by), F.col(number).cast("long"), seq)
+    source = df.select(F.col(by).cast("long").alias(by), F.col(number).cast("long"), seq)
 
     def run(batches):
         for batch in batches:
-            names = pc.dictionary_encode(batch.column(0), null_encoding="encode")
-            group = names.indices.to_numpy(zero_copy_only=False)
-            numbers = batch.column(1).to_numpy()
+            group, numbers = (batch.column(i).to_numpy() for i in (0, 1))
+            alone = not len(group) or group.min() == group.max()
             for rows, values in _kmer_rows(*_batch_letters(batch.column(2)), k):
                 if not len(rows):
                     continue
                 of = group[rows]
-                order = np.lexsort((values, of)) if len(names.dictionary) > 1 else np.argsort(values)
+                order = np.argsort(values) if alone else np.lexsort((values, of))
                 values, of = values[order], of[order]
                 new = np.ones(len(order), bool)
                 new[1:] = (values[1:] != values[:-1]) | (of[1:] != of[:-1])
                 first = np.flatnonzero(new)
-                ends = pa.array(np.append(first, len(order)).astype(np.int32))
+                listed = numbers[rows[order]]
+                size = np.diff(np.append(first, len(order))) - 1
+                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                more = pa.ListArray.from_arrays(
+                    pa.array(ends), pa.array(listed[~new]), mask=pa.array(size == 0)
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [names.dictionary.take(pa.array(of[first])), pa.array(values[first])]
-                    + [pa.ListArray.from_arrays(ends, pa.array(numbers[rows[order]]))],
-                    names=[by, "kmer", "rows"],
+                    [pa.array(of[first]), pa.array(values[first]), pa.array(listed[first]), more],
+                    names=[by, "kmer", "row", "more"],
                 )
 
-    return source.mapInArrow(run, f"`{by}` string, kmer long, rows array<long>")
+    return source.mapInArrow(run, f"`{by}` long, kmer long, row long, more array<long>")
+
+
+def listed_rows() -> Column:
+    """All numbers of an inverted list."""
+    return F.concat(F.array("row"), F.coalesce("more", F.expr("cast(array() as array<long>)")))
 
 
 def kmer_text(kmer: Column, k: int) -> Column:

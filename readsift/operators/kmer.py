@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from readsift.functions.kmers import count_kmers, kmer_lists, kmers
+from readsift.functions.kmers import count_kmers, kmer_lists, kmers, listed_rows
 from readsift.operators.joins import dimension_join
 from readsift.operators.taxonomy import taxon_closure
 from readsift.session import INDEX_TABLE, stage, staging_path
@@ -104,12 +104,20 @@ def hot_kmers(reads: DataFrame, k: int = K) -> list[int]:
 class Matches:
     """k-mers of reads that the index knows, as stored tables.
 
-    ``reads`` has sample, id, read_no and n_kmers (valid k-mers) of every row of reads. ``found`` has sample,
-    kmer, taxid and ``rows``, the numbers of the reads that hold the k-mer.
+    ``reads`` has sample, id, read_no and n_kmers (valid k-mers) of every row of reads. ``found`` has
+    kmer, taxid, the number of the sample and the numbers of the reads that hold the k-mer (row,
+    more). ``samples`` has the name of each number.
     """
 
     reads: DataFrame
     found: DataFrame
+    samples: DataFrame
+
+    def kmers(self) -> DataFrame:
+        """sample, taxid, kmer, n: how often a known k-mer occurs, in parts that add up."""
+        n = 1 + F.coalesce(F.size("more"), F.lit(0)).cast("long")
+        parts = self.found.select("sample_no", "taxid", "kmer", F.greatest(n, F.lit(1)).alias("n"))
+        return dimension_join(parts, self.samples, ["sample_no"]).drop("sample_no")
 
     def hits(self) -> DataFrame:
         """Known k-mers per read and taxon: sample, id, taxid, hits, n_kmers, n_taxa.
@@ -117,7 +125,7 @@ class Matches:
         Rows of one id, such as mates, are one read. Each read has a row without a taxon as well.
         ``n_kmers`` are the valid k-mers of the read and ``n_taxa`` its taxa.
         """
-        each = self.found.select(F.explode("rows").alias("read_no"), "taxid")
+        each = self.found.select(F.explode(listed_rows()).alias("read_no"), "taxid")
         per_row = each.repartition("read_no").groupBy("read_no", "taxid").agg(
             F.count(F.lit(1)).alias("hits")
         )
@@ -147,17 +155,21 @@ def kmer_matches(reads: DataFrame, index: DataFrame, k: int = K) -> Matches:
     k-mer of a batch with the numbers of its reads. A bucketed index (``store_index``) is not
     moved. k-mers of a great part of all reads meet their few index rows apart.
     """
-    numbered = reads.select(F.monotonically_increasing_id().alias("read_no"), *READ, "seq")
+    named = [F.xxhash64("sample").alias("sample_no"), *READ, "seq"]
+    numbered = reads.select(F.monotonically_increasing_id().alias("read_no"), *named)
     stored = stage(count_kmers(numbered, k), "reads")
-    lists = kmer_lists(stored, k, "read_no", "sample")
+    samples = stage(stored.select("sample_no", "sample").distinct(), "samples")
+    if not samples.groupBy("sample_no").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("two samples share a number")
+    lists = kmer_lists(stored, k, "read_no", "sample_no")
     hot = hot_kmers(stored.select("seq"), k)
     is_hot = F.col("kmer").isin(hot) if hot else F.lit(False)
     found = lists.where(~is_hot).join(index.where(~is_hot), "kmer")
     if hot:  # at most 1 / HOT_SHARE rows of the index
         few = index.where(is_hot)
         found = found.unionByName(lists.where(is_hot).join(F.broadcast(few), "kmer"))
-    columns = ["sample", "kmer", "taxid", "rows"]
-    return Matches(stored.drop("seq"), stage(found.select(columns), "found"))
+    found = stage(found.select("sample_no", "kmer", "taxid", "row", "more"), "found")
+    return Matches(stored.drop("seq", "sample_no"), found, samples)
 
 
 def classify_reads(
@@ -226,12 +238,12 @@ def _best_taxon(hits: DataFrame, closure: DataFrame, confidence: float) -> DataF
 def clade_report(
     assignments: DataFrame,
     closure: DataFrame,
-    found: DataFrame | None = None,
+    kmers_found: DataFrame | None = None,
     approximate: bool = False,
 ) -> DataFrame:
     """Reads of every taxon and of its clade, with the percentage of the sample's reads.
 
-    With the rows ``found`` of ``kmer_matches`` also k-mers and distinct k-mers of the clade;
+    With ``kmers_found``, the rows of ``Matches.kmers``, also k-mers and distinct k-mers of the clade;
     ``approximate`` estimates the latter. All rows are added up per taxid before they meet
     the tree, so no taxid is hot in the join. A tree without ``sample`` serves all samples.
     """
@@ -258,19 +270,18 @@ def clade_report(
         "taxon_reads",
         (F.lit(100.0) * F.col("clade_reads") / F.col("total")).alias("percentage"),
     )
-    if found is None:
+    if kmers_found is None:
         return out
     zero = {"n_kmers": 0, "n_unique_kmers": 0}
-    by_clade = clade_kmers(found, closure, approximate)
+    by_clade = clade_kmers(kmers_found, closure, approximate)
     return out.join(by_clade, ["sample", "taxid"], "left").fillna(zero)
 
 
-def clade_kmers(found: DataFrame, closure: DataFrame, approximate: bool = False) -> DataFrame:
-    """k-mers and distinct k-mers of every clade that has any, of the rows of ``kmer_matches``.
+def clade_kmers(known: DataFrame, closure: DataFrame, approximate: bool = False) -> DataFrame:
+    """k-mers and distinct k-mers of every clade that has any, of the rows of ``Matches.kmers``.
 
     A k-mer stands for one taxon, so the distinct k-mers of a clade are the sum over its taxa.
     """
-    known = found.select("sample", "taxid", "kmer", F.size("rows").cast("long").alias("n"))
     if approximate:
         sums = known.groupBy("sample", "taxid").agg(
             F.sum("n").alias("n"), F.approx_count_distinct("kmer").alias("n_unique")

@@ -19,13 +19,13 @@ LG_K = 14
 SCHEMA = "sample string, taxid int, n_kmers long, sketch binary"
 
 
-def kmer_sketches(found: DataFrame, lg_k: int = LG_K) -> DataFrame:
-    """Per sample and taxon: k-mers and the sketch of distinct ones, of the rows of ``kmer_matches``.
+def kmer_sketches(known: DataFrame, lg_k: int = LG_K) -> DataFrame:
+    """Per sample and taxon: k-mers and the sketch of distinct ones, of the rows of ``Matches.kmers``.
 
     Sketches are filled in every task before anything is shuffled.
     """
-    return found.groupBy("sample", "taxid").agg(
-        F.sum(F.size("rows")).cast("long").alias("n_kmers"),
+    return known.groupBy("sample", "taxid").agg(
+        F.sum("n").alias("n_kmers"),
         F.hll_sketch_agg("kmer", lg_k).alias("sketch"),
     )
 

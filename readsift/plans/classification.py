@@ -44,12 +44,12 @@ class Classifier:
         """
         matches = self.matches(reads)
         calls = stage(kmer.classify_matches(matches, self.closure, confidence), "calls")
-        return kmer.clade_report(calls, self.closure, matches.found)
+        return kmer.clade_report(calls, self.closure, matches.kmers())
 
     def add_run(self, reads: DataFrame, path: str) -> kmer.Matches:
         """Look up the reads of a run and add its k-mer sketches to those stored at a path."""
         matches = self.matches(reads)
-        sketches.add_run(sketches.kmer_sketches(matches.found), path)
+        sketches.add_run(sketches.kmer_sketches(matches.kmers()), path)
         return matches
 
     def clades_over_runs(self, path: str, by: tuple[str, ...] = ("sample",)) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from readsift.functions.kmers import kmer_lists
+from readsift.functions.kmers import kmer_lists, listed_rows
 from readsift.operators import extract as ex
 from readsift.operators import kmer, sketches
 from readsift.operators.idfilter import keep_candidates
@@ -57,10 +57,11 @@ def test_index_is_not_shuffled_again(spark, table, closure):
         ("s", f"r{i}", "".join(rng.choices("ACGT", k=30))) for i in range(40)])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        lists = kmer_lists(reads.withColumn("no", F.monotonically_increasing_id()), 6, "no", "sample")
+        numbered = reads.withColumn("no", F.monotonically_increasing_id()).withColumn("of", F.lit(1))
+        lists = kmer_lists(numbered, 6, "no", "of")
         joined = lists.join(stored, "kmer")
         plan = joined._jdf.queryExecution().executedPlan().toString()
-        found = joined.select(F.explode("rows"), "kmer").count()
+        found = joined.select(F.explode(listed_rows()), "kmer").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
@@ -73,14 +74,16 @@ def test_index_is_not_shuffled_again(spark, table, closure):
 @pytest.mark.parametrize("batch", ["3", "10000"])
 def test_lists_against_brute_force(spark, table, batch):
     rng = random.Random(4)
-    rows = [(rng.choice(["s", "t", None]), i, "".join(rng.choices("ACGN", [5, 1, 1, 0.3], k=rng.randrange(14))))
+    rows = [(rng.choice([4, 5, -9]), i, "".join(rng.choices("ACGN", [5, 1, 1, 0.3], k=rng.randrange(14))))
             for i in range(50)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     try:
-        got = kmer_lists(table("sample string, no long, seq string", *rows).coalesce(1), 4, "no", "sample")
-        found = [(r.sample, r.kmer, no) for r in got.collect() for no in r.rows]
+        got = kmer_lists(table("of long, no long, seq string", *rows).coalesce(1), 4, "no", "of")
+        got = got.withColumn("all", listed_rows()).collect()
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert all((r.more is None) == (len(r.all) == 1) for r in got)
+    found = [(r.of, r.kmer, no) for r in got for no in r.all]
     digits = str.maketrans("ACGT", "0123")
     want = [(s, int(w.translate(digits), 4), i) for s, i, seq in rows for w in canonical(seq, 4) if w]
     assert sorted(found, key=repr) == sorted(want, key=repr)
@@ -97,6 +100,8 @@ def test_matches_with_hot_kmers_and_mates(spark, table, closure, monkeypatch, ho
     hits = kmer.kmer_matches(reads, index, 4).hits()
     got = {(r.id, r.taxid): (r.hits, r.n_kmers, r.n_taxa) for r in hits.collect()}
     assert got["r3", 100] == (8, 12, 2) and got["r3", 110] == (1, 12, 2) and got["r3", None] == (0, 12, 2)
+    kmers = kmer.kmer_matches(reads, index, 4).kmers().groupBy("sample", "kmer").agg(F.sum("n")).collect()
+    assert sorted(map(tuple, kmers)) == [("s", 0, 160), ("s", 5, 20)]
     assert got["n", None] == got["e", None] == got["z", None] == (0, 0, 0) and len(got) == 63
 
 
@@ -122,9 +127,9 @@ def test_positions_in_ranges(spark, table, ranges):
 def test_runs_united_by_sketches(spark, table, closure, tmp_path):
     path, rows = str(tmp_path / "runs"), []
     for run in range(3):
-        mine = [("s", 100 + run % 2, k, [1, 2]) for k in range(run * 500, run * 500 + 1000)]
+        mine = [("s", 100 + run % 2, k, 2) for k in range(run * 500, run * 500 + 1000)]
         rows += mine
-        found = table("sample string, taxid int, kmer long, rows array<long>", *mine)
+        found = table("sample string, taxid int, kmer long, n long", *mine)
         sketches.add_run(sketches.kmer_sketches(found), path)
     runs = sketches.read_runs(spark, path)
     got = sketches.estimated(sketches.clade_sketches(runs, closure)).collect()

@@ -119,7 +119,7 @@ class _Cut:
         if len(self.start):
             text_end = self.offsets[np.searchsorted(self.offsets, self.start, "right")]
             self.end = np.minimum(self.end, text_end)
-        self.hash = arrays.Hasher(points).spans(self.start, self.end)
+        self.hash = arrays.word_hashes(points, self.start, self.end)
         self.first = np.searchsorted(self.start, self.offsets)
 
     def words(self, which: np.ndarray) -> list[str]:
@@ -208,14 +208,14 @@ def _encode_words(path: str):
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """``hash, n, ids`` of every distinct piece of all texts (a column ``text``)."""
     rows = docs.select("text").mapInArrow(_distinct(path), "hash long, n long, word string")
-    clash = F.raise_error(F.lit("two pieces share one hash")).cast("string")
-    whole = rows.groupBy("hash").agg(
-        F.sum("n").alias("n"), F.min("word").alias("word"), F.max("word").alias("last")
-    )
-    checked = whole.select(
-        "hash", "n", F.when(F.col("word") != F.col("last"), clash).otherwise(F.col("word")).alias("word")
-    )
-    return checked.mapInArrow(_encode_words(path), "hash long, n long, ids binary")
+    whole = rows.groupBy("hash", "word").agg(F.sum("n").alias("n"))
+    return whole.mapInArrow(_encode_words(path), "hash long, n long, ids binary")
+
+
+def _one_piece_a_hash(words: DataFrame) -> None:
+    twice = words.groupBy("hash").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    if not twice.isEmpty():
+        raise ValueError("two pieces share one hash")
 
 
 class _Common:
@@ -231,8 +231,11 @@ class _Common:
         self.ids = np.frombuffer(b"".join(raw) or bytes(4), "<u4").copy()
 
 
-def _fill(path: str, shared):
-    """Ids of common pieces in place; a rare piece is one zero and its hash with its place."""
+def _fill(path: str, shared, only_holes: bool = False):
+    """Ids of common pieces in place; a rare piece is one zero and its hash with its place.
+
+    With ``only_holes`` just the rare pieces and their places, without any ids.
+    """
 
     def run(batches):
         special, table = _special(path), shared.value
@@ -242,25 +245,24 @@ def _fill(path: str, shared):
                 at = np.minimum(np.searchsorted(table.hash, cut.hash), max(0, len(table.hash) - 1))
                 known = table.hash[at] == cut.hash if len(table.hash) else np.zeros(len(at), bool)
                 size = np.where(known, table.first[at + 1] - table.first[at], 1)
-                place, owner = arrays.expand(np.where(known, table.first[at], 0), size)
-                ids = np.where(known[owner], table.ids[place], 0)
                 end = np.concatenate([[0], np.cumsum(size)])
                 text_end = end[cut.first]
+                columns = [batch.column("doc").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo)]
+                if not only_holes:
+                    place, owner = arrays.expand(np.where(known, table.first[at], 0), size)
+                    ids = np.where(known[owner], table.ids[place], 0).astype("<u4")
+                    edges = zip(text_end[:-1], text_end[1:], strict=True)
+                    rows = [_squeeze(ids[a:b].tobytes()) for a, b in edges]
+                    columns.append(pa.array(rows, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc", "th", "ids"])
+                    continue
                 hole = np.flatnonzero(~known)
-                hole_text = np.searchsorted(cut.first, hole, "right") - 1
-                hole_place = (end[hole] - text_end[hole_text]).astype(np.int32)
-                bound = np.searchsorted(hole_text, np.arange(hi - lo + 1))
-                ids = ids.astype("<u4")
-                rows = [ids[a:b].tobytes() for a, b in zip(text_end[:-1], text_end[1:], strict=True)]
-                holes = pa.StructArray.from_arrays(
-                    [pa.array(cut.hash[hole].view(np.int64)), pa.array(hole_place)], ["hash", "at"]
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc").slice(lo, hi - lo), batch.column("th").slice(lo, hi - lo)]
-                    + [pa.array([_squeeze(x) for x in rows], pa.binary())]
-                    + [pa.ListArray.from_arrays(pa.array(bound.astype(np.int32)), holes)],
-                    ["doc", "th", "ids", "holes"],
-                )
+                text = np.searchsorted(cut.first, hole, "right") - 1
+                row = pa.array(text)
+                columns = [c.take(row) for c in columns]
+                columns.append(pa.array(cut.hash[hole].view(np.int64)))
+                columns.append(pa.array((end[hole] - text_end[text]).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "th", "hash", "at"])
 
     return run
 
@@ -337,18 +339,20 @@ def encode(
 ) -> DataFrame:
     """Per row: ``doc_id, ids`` (binary: little-endian unsigned 32-bit ids of the whole text)."""
     path = path or public_tokenizers.path(TOKENIZER)
+    joined = _joined(docs, path, common, id_col, text_col)
+    return joined.mapInArrow(_finish, "doc_id long, ids binary")
+
+
+def _joined(docs: DataFrame, path: str, common: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: ids with holes, and the rare pieces that fill them."""
     rows = rows_of(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     words = stage(word_table(rows, path), "words")
+    _one_piece_a_hash(words)
     least = _threshold(words, common)
     table = _Common(words.where(F.col("n") >= least).select("hash", "ids").toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    schema = "doc long, th long, ids binary, holes array<struct<hash:long,at:int>>"
-    filled = rows.mapInArrow(_fill(path, shared), schema)
-    holes = (
-        filled.where(F.size("holes") > 0)
-        .select("doc", "th", F.explode("holes").alias("x"))
-        .select("doc", "th", "x.hash", "x.at")
-    )
+    filled = rows.mapInArrow(_fill(path, shared), "doc long, th long, ids binary")
+    holes = rows.mapInArrow(_fill(path, shared, True), "doc long, th long, hash long, at int")
     rare = words.where(F.col("n") < least).select("hash", "ids")
     found = (
         holes.join(rare, "hash")
@@ -357,8 +361,7 @@ def encode(
     )
     same = F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
     found = stage(found, "rare").withColumnsRenamed({"doc": "d", "th": "t"})
-    joined = filled.select("doc", "th", "ids").join(found, same, "left").select("doc", "ids", "rare")
-    return joined.mapInArrow(_finish, "doc_id long, ids binary")
+    return filled.select("doc", "th", "ids").join(found, same, "left").select("doc", "ids", "rare")
 
 
 @cache
@@ -398,9 +401,27 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     return encoded.mapInArrow(_decode(path), "doc_id long, ids binary, text string")
 
 
+def encode_and_decode(
+    docs: DataFrame,
+    path: str | None = None,
+    common: int = COMMON,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, ids, text``: what ``decode`` makes of ``encode``, with one Python worker a task."""
+    path = path or public_tokenizers.path(TOKENIZER)
+    decoded = _decode(path)
+
+    def run(batches):
+        return decoded(_finish(batches))
+
+    joined = _joined(docs, path, common, id_col, text_col)
+    return joined.mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """The ids and the decoded text of every row, as digests."""
-    return decode(encode(docs)).select(
+    return encode_and_decode(docs).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

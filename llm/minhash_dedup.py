@@ -9,7 +9,8 @@ Buckets never turn into all their pairs:
 
 1. Documents with the same shingle set are one node.
 2. In each bucket every node is compared with the node that is in the most company (the one
-   whose buckets are largest, so the centre of a group of copies). Links make components.
+   whose buckets are largest, so the centre of a group of copies). Links make components. Buckets
+   that still hold several do the same with other nodes, ``STARS`` times in all.
 3. Only pairs of a bucket that are still in different components are left. Small buckets
    compare them directly. In a crowded bucket a node that fails the centre has few possible
    partners. Either both hold a shingle that at most ``SMALL`` nodes hold. With such shingles
@@ -45,6 +46,8 @@ ROWS = 4
 AGREE = 60
 #: Buckets up to this size compare all nodes of different components directly.
 SMALL = 32
+#: Times that a bucket's nodes are compared with one of them before other pairs are made.
+STARS = 3
 _LAST = np.iinfo(np.int64).max
 
 
@@ -62,7 +65,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
     """The sorted distinct shingle hashes of each text of a block."""
     folded = arrays.fold_ascii(data)
     start, end, first = arrays.words(folded, offsets, arrays.NOT_SPACE)
-    hasher = arrays.Hasher(arrays.Hasher(folded).spans(start, end))
+    hasher = arrays.Hasher(arrays.word_hashes(folded, start, end))
     grams = hasher.grams(size)
     sets = []
     for f, t in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
@@ -269,20 +272,33 @@ class _Search:
         )
         used = stage(used.select("node", "n", "sketch"), "sketches")
         first = stage(self.confirmed(self.pairs_close(star, used), texts), "first")
-        labels = stage(
-            self.candidates.join(components(first), "node", "left").select(
-                "node", F.coalesce("label", "node").alias("label")
-            ),
-            "first_labels",
-        )
-        placed = stage(members.join(labels, "node"), "placed")
-        mixed = placed.groupBy("key").agg(
-            F.min("label").alias("low"), F.max("label").alias("high")
-        ).where("low != high").select("key")
-        open_ = stage(placed.join(mixed, "key"), "open")
+        links = first
+        open_ = self._open(members, links)
+        for turn in range(1, STARS):
+            other = open_.groupBy("key").agg(
+                F.max_by(F.struct("node", "n", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("mid")
+            )
+            pairs = (
+                open_.join(other, "key")
+                .where((F.col("label") != F.col("mid.label")) & self.fits(F.col("n"), F.col("mid.n")))
+                .select(F.least("node", "mid.node").alias("a"), F.greatest("node", "mid.node").alias("b"))
+                .distinct()
+            )
+            more = stage(self.confirmed(self.pairs_close(pairs, used), texts), "more")
+            links = links.unionByName(more)
+            open_ = self._open(members, links)
         rest = self._direct(open_).unionByName(self._crowded(open_, centre, texts)).distinct()
         second = self.confirmed(self.pairs_close(rest, used), texts)
-        return first.unionByName(second)
+        return links.unionByName(second)
+
+    def _open(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Members with their component, in buckets with several."""
+        labels = self.candidates.join(components(links), "node", "left").select(
+            "node", F.coalesce("label", "node").alias("label")
+        )
+        placed = stage(members.join(stage(labels, "labels"), "node"), "placed")
+        several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        return stage(placed.join(several.where("low != high").select("key"), "key"), "open")
 
     def _direct(self, open_: DataFrame) -> DataFrame:
         """Pairs of different components in small buckets."""
@@ -319,7 +335,9 @@ class _Search:
         schema = "node long, n long, s long, seldom array<long>"
         search = _shared_shingles(self.size, self.percent, frequent, seldom)
         bound = stage(own.mapInArrow(search, schema), "bound")
-        known = many.join(bound.select("node", "s"), "node")
+        # a pair that several buckets hold is made in the first of them only
+        buckets = many.groupBy("node").agg(F.collect_set("key").alias("keys"))
+        known = many.join(bound.select("node", "s"), "node").join(buckets, "node")
         outside = stage(known.join(core, "key").where("label != mid_label"), "outside")
 
         p = self.percent
@@ -329,11 +347,13 @@ class _Search:
             outside.withColumn("low", F.ceil(F.col("n") * p / 100).cast("long"))
             .withColumn("high", F.least(most, F.floor(F.col("n") * 100 / p).cast("long")))
             .where("low <= high")
-            .select("key", "node", "n", "label", F.explode(F.sequence("low", "high")).alias("n_b"))
+            .select("key", "node", "n", "label", "keys", F.explode(F.sequence("low", "high")).alias("n_b"))
         )
-        other = known.select("key", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", "s")])
+        columns = ("node", "n", "label", "s", "keys")
+        other = known.select("key", *[F.col(x).alias(f"{x}_b") for x in columns])
         need = (F.col("n") + F.col("n_b")) * p <= F.col("s_b") * (100 + p)
-        by_size = sizes.join(other, ["key", "n_b"]).where("label != label_b").where(need)
+        first = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
+        by_size = sizes.join(other, ["key", "n_b"]).where("label != label_b").where(need & first)
 
         held = (
             bound.join(here, "node")

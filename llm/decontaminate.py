@@ -36,7 +36,7 @@ BLOCK_WINDOWS = 200_000
 def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     folded = arrays.fold_ascii(data)
     start, end, first = arrays.words(folded, offsets, arrays.ALNUM)
-    return arrays.Hasher(folded).spans(start, end), first
+    return arrays.word_hashes(folded, start, end), first
 
 
 def _item_windows(window: int):

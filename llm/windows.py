@@ -61,7 +61,7 @@ def _sequence(kind: Kind, data, offsets):
     """Hasher over the symbols of a block, and the place of each text's first symbol."""
     if kind.words:
         start, end, first = arrays.words(data, offsets, arrays.NOT_SPACE)
-        return arrays.Hasher(arrays.Hasher(data).spans(start, end)), first
+        return arrays.Hasher(arrays.word_hashes(data, start, end)), first
     return arrays.Hasher(data), offsets
 
 

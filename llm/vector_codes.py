@@ -92,7 +92,7 @@ def _integers(batch: pa.RecordBatch, scale: int, parts: int, width: int | None)
     odd = np.flatnonzero((sizes != width) | (width % parts != 0))
     if len(odd):
         raise ValueError(f"vector {batch.column(0)[int(odd[0])]} has {sizes[odd[0]]} components")
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(sizes), width)
     scaled = np.floor(flat * scale)
     # twice this, squared, summed over the vector, fits 63 bits
     largest = 1 << ((62 - width.bit_length()) // 2 - 1)
@@ -146,7 +146,7 @@ def _start(vectors: DataFrame, parts: int, entries: int, scale: int) -> Codebook
     if not first.num_rows:
         return None
     x = _integers(first.combine_chunks().to_batches()[0], scale, parts, None)
-    return Codebooks(x.reshape(len(x), parts, -1).transpose(1, 0, 2).copy(), scale)
+    return Codebooks(x.reshape(len(x), parts, x.shape[1] // parts).transpose(1, 0, 2).copy(), scale)
 
 
 def _sums(books: Codebooks):

@@ -261,6 +261,8 @@ def test_codes_decode_and_odd_tables(spark):
     assert vector_codes.compress(spark.createDataFrame([], schema)).count() == 0
     nothing = spark.createDataFrame([(1, None, 1), (2, [None, 1.0], 1)], schema)
     assert vector_codes.compress(nothing).count() == 0
+    empty = vector_codes.compress(spark.createDataFrame([(1, [], 1), (2, [], None)], schema))
+    assert [r[:4] for r in plain(empty)] == [(1, "00" * 16, 0, 0), (2, "00" * 16, 0, 0)]
     table = spark.createDataFrame([(i, [i / 4] * 16, 1) for i in range(20)], schema)
     books = vector_codes.fit(table)
     back = vector_codes.decode(vector_codes.encode(table, books), books)

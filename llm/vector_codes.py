@@ -202,7 +202,7 @@ def fit(
     """Codebooks from all usable vectors of the table; None where it has none."""
     vectors = kept_vectors(table, id_col, vector_col)
     books = _start(vectors, parts, entries, scale)
-    for _ in range(rounds if books else 0):
+    for _ in range(rounds if books and books.width else 0):
         books = _round(vectors, books)
     return books
 

@@ -15,8 +15,8 @@ from readsift.session import INDEX_TABLE, stage, staging_path
 
 K = 31
 CONFIDENCE = 0.2
-# Reads that are looked at for k-mers of a great part of all reads, and how great a part.
-HOT_SAMPLE = 20_000
+# k-mers that are looked at for those of a great part of all reads, and how great a part.
+HOT_SAMPLE = 2_000_000
 HOT_SHARE = 0.01
 READ = ["id", "sample"]
 
@@ -88,16 +88,18 @@ def store_index(index: DataFrame, buckets: int | None = None) -> DataFrame:
 
 
 def hot_kmers(reads: DataFrame, k: int = K) -> list[int]:
-    """k-mers that hold at least ``HOT_SHARE`` of the k-mers of a sample of ``HOT_SAMPLE`` reads.
+    """k-mers that make up ``HOT_SHARE`` of a sample of reads with about ``HOT_SAMPLE`` k-mers.
 
-    At most 1 / ``HOT_SHARE`` numbers. They are matched apart, so that no bucket gathers the reads of
-    a k-mer that a great part of all reads hold. Results do not depend on them.
+    ``reads`` has seq and n_kmers. At most about 1 / ``HOT_SHARE`` numbers come back. They are matched apart,
+    so that no bucket gathers the reads of a k-mer that a great part of all reads hold.
+    Results do not depend on them.
     """
-    n = reads.count()
-    some = reads.sample(min(1.0, HOT_SAMPLE / max(n, 1)), seed=1)
+    total = reads.agg(F.sum("n_kmers")).first()[0] or 0
+    share = min(1.0, HOT_SAMPLE / max(total, 1))
+    some = reads.select("seq").sample(share, seed=1)
     counts = kmers(some, k, keep=[]).groupBy("kmer").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return [r.kmer for r in counts.where(F.col("n") >= max(2, HOT_SHARE * total)).collect()]
+    hot = counts.where(F.col("n") >= max(2, HOT_SHARE * share * total))
+    return [r.kmer for r in hot.select("kmer").collect()]
 
 
 @dataclass
@@ -158,11 +160,14 @@ def kmer_matches(reads: DataFrame, index: DataFrame, k: int = K) -> Matches:
     named = [F.xxhash64("sample").alias("sample_no"), *READ, "seq"]
     numbered = reads.select(F.monotonically_increasing_id().alias("read_no"), *named)
     stored = stage(count_kmers(numbered, k), "reads")
-    samples = stage(stored.select("sample_no", "sample").distinct(), "samples")
-    if not samples.groupBy("sample_no").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
-        raise ValueError("two samples share a number")
+    low, high = F.min("sample").alias("sample"), F.max("sample").alias("high")
+    clash = F.raise_error(F.lit("two samples share a number")).cast("string")
+    one = F.when(F.col("sample") == F.col("high"), F.col("sample"))
+    one = one.when(F.col("high").isNotNull(), clash).alias("sample")
+    samples = stored.groupBy("sample_no").agg(low, high).select("sample_no", one)
+    samples = stage(samples, "samples")
     lists = kmer_lists(stored, k, "read_no", "sample_no")
-    hot = hot_kmers(stored.select("seq"), k)
+    hot = hot_kmers(stored, k)
     is_hot = F.col("kmer").isin(hot) if hot else F.lit(False)
     found = lists.where(~is_hot).join(index.where(~is_hot), "kmer")
     if hot:  # at most 1 / HOT_SHARE rows of the index

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from readsift.functions.kmers import kmer_lists, listed_rows
+from readsift.functions.kmers import count_kmers, kmer_lists, listed_rows
 from readsift.operators import extract as ex
 from readsift.operators import kmer, sketches
 from readsift.operators.idfilter import keep_candidates
@@ -96,7 +96,7 @@ def test_matches_with_hot_kmers_and_mates(spark, table, closure, monkeypatch, ho
                   *[("s", f"r{i // 2}", "AAAAAAA" + ("CG" if i % 2 else "CC")) for i in range(40)],
                   ("s", "n", "NNNN"), ("t", "e", ""), ("t", "z", None))
     index = kmer.store_index(table("kmer long, taxid int", (0, 100), (5, 110)), 4)  # AAAA, AACC
-    assert bool(kmer.hot_kmers(reads, 4)) == hot
+    assert bool(kmer.hot_kmers(count_kmers(reads, 4), 4)) == hot
     hits = kmer.kmer_matches(reads, index, 4).hits()
     got = {(r.id, r.taxid): (r.hits, r.n_kmers, r.n_taxa) for r in hits.collect()}
     assert got["r3", 100] == (8, 12, 2) and got["r3", 110] == (1, 12, 2) and got["r3", None] == (0, 12, 2)

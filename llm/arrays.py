@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 
+@cache
 def _keep_freed_memory() -> None:
     """Let the C library of a worker keep up to 32 MB that the arrays of a block leave free.
 
@@ -29,8 +31,6 @@ def _keep_freed_memory() -> None:
         pass
 
 
-_keep_freed_memory()
-
 #: Bytes of text worked on at once; a longer single text is a block of its own.
 BLOCK_BYTES = 400_000
 
@@ -156,6 +156,7 @@ def blocks(
 
     A null counts as an empty text.
     """
+    _keep_freed_memory()
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

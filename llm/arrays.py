@@ -31,6 +31,23 @@ def _keep_freed_memory() -> None:
         pass
 
 
+def release_after(run):
+    """The same work on the batches of a task, after which the worker hands all free memory back.
+
+    Workers are used again by later tasks and stages, and would else keep the most they ever held.
+    """
+
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass
+
+    return tidied
+
+
 #: Bytes of text worked on at once; a longer single text is a block of its own.
 BLOCK_BYTES = 400_000
 

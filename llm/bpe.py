@@ -207,9 +207,9 @@ def _encode_words(path: str):
 
 def word_table(docs: DataFrame, path: str) -> DataFrame:
     """``hash, n, ids`` of every distinct piece of all texts (a column ``text``)."""
-    rows = docs.select("text").mapInArrow(_distinct(path), "hash long, n long, word string")
+    rows = docs.select("text").mapInArrow(arrays.release_after(_distinct(path)), "hash long, n long, word string")
     whole = rows.groupBy("hash", "word").agg(F.sum("n").alias("n"))
-    return whole.mapInArrow(_encode_words(path), "hash long, n long, ids binary")
+    return whole.mapInArrow(arrays.release_after(_encode_words(path)), "hash long, n long, ids binary")
 
 
 def _one_piece_a_hash(words: DataFrame) -> None:
@@ -340,7 +340,7 @@ def encode(
     """Per row: ``doc_id, ids`` (binary: little-endian unsigned 32-bit ids of the whole text)."""
     path = path or public_tokenizers.path(TOKENIZER)
     joined = _joined(docs, path, common, id_col, text_col)
-    return joined.mapInArrow(_finish, "doc_id long, ids binary")
+    return joined.mapInArrow(arrays.release_after(_finish), "doc_id long, ids binary")
 
 
 def _joined(docs: DataFrame, path: str, common: int, id_col: str, text_col: str) -> DataFrame:
@@ -351,8 +351,8 @@ def _joined(docs: DataFrame, path: str, common: int, id_col: str, text_col: str)
     least = _threshold(words, common)
     table = _Common(words.where(F.col("n") >= least).select("hash", "ids").toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    filled = rows.mapInArrow(_fill(path, shared), "doc long, th long, ids binary")
-    holes = rows.mapInArrow(_fill(path, shared, True), "doc long, th long, hash long, at int")
+    filled = rows.mapInArrow(arrays.release_after(_fill(path, shared)), "doc long, th long, ids binary")
+    holes = rows.mapInArrow(arrays.release_after(_fill(path, shared, True)), "doc long, th long, hash long, at int")
     rare = words.where(F.col("n") < least).select("hash", "ids")
     found = (
         holes.join(rare, "hash")
@@ -398,7 +398,7 @@ def _decode(path: str):
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, text`` from ``doc_id, ids``."""
     path = path or public_tokenizers.path(TOKENIZER)
-    return encoded.mapInArrow(_decode(path), "doc_id long, ids binary, text string")
+    return encoded.mapInArrow(arrays.release_after(_decode(path)), "doc_id long, ids binary, text string")
 
 
 def encode_and_decode(
@@ -416,7 +416,7 @@ def encode_and_decode(
         return decoded(_finish(batches))
 
     joined = _joined(docs, path, common, id_col, text_col)
-    return joined.mapInArrow(run, "doc_id long, ids binary, text string")
+    return joined.mapInArrow(arrays.release_after(run), "doc_id long, ids binary, text string")
 
 
 def digests(docs: DataFrame) -> DataFrame:

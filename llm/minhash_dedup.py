@@ -209,7 +209,7 @@ class _Search:
         self.size, self.percent, self.small = size, percent, small
         self.rows = docs.select("doc", F.xxhash64("text").alias("th"), "text")
         schema = "doc long, th long, n long, node long, bands array<long>, sketch binary"
-        self.signed = stage(self.rows.mapInArrow(_sign(size, bands, rows), schema), "signed")
+        self.signed = stage(self.rows.mapInArrow(arrays.release_after(_sign(size, bands, rows)), schema), "signed")
 
     def nodes(self) -> DataFrame:
         """One row per distinct set that is not empty, with a text that has it."""
@@ -230,7 +230,7 @@ class _Search:
         drawn = pairs.join(
             texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
         ).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return drawn.mapInArrow(_linked(self.size, self.percent), "a long, b long")
+        return drawn.mapInArrow(arrays.release_after(_linked(self.size, self.percent)), "a long, b long")
 
     def fits(self, a: Column, b: Column) -> Column:
         """Sizes that can reach the similarity at all."""

@@ -5,7 +5,7 @@ Results are common table expressions that build on each other and on the stand-i
 
 from __future__ import annotations
 
-from checks.queries import EVENT_WIDTH, K, MAX_READS, TAXIDS
+from checks.queries import EVENT_WIDTH, FILES_MAX_READS, K, MAX_READS, TAXIDS
 from readsift.fixtures import with_views
 
 _TAXIDS = ", ".join(map(str, TAXIDS))
@@ -283,7 +283,7 @@ union select sample, target, target from o_wanted, o_samples""",
     "extract_max_files": _READS_BY_ID.format(
         ids=f"""(select sample, read_id from fx_assignments where (sample, taxid) in (select sample, taxid from o_children)
                  group by sample, read_id
-                 qualify row_number() over (partition by sample order by min(line_no)) <= {MAX_READS})"""
+                 qualify row_number() over (partition by sample order by min(line_no)) <= {FILES_MAX_READS})"""
     ),
     "extract_paired": f"""
 select sample, mate, id, seq from fx_mates

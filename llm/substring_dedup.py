@@ -66,7 +66,7 @@ def remove_repeated_words(
     """
     kind = Kind(window, node, words=True, within=False, **tuning)
     return with_ranges(docs, kind, id_col, text_col).mapInArrow(
-        _cut, "doc_id long, n_words long, n_removed long, kept_text string"
+        arrays.release_after(_cut), "doc_id long, n_words long, n_removed long, kept_text string"
     )
 
 

@@ -62,7 +62,7 @@ def remove_repeated_bytes(
     """
     kind = Kind(window, trigger, words=False, within=True, **tuning)
     return with_ranges(docs, kind, id_col, text_col).mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+        arrays.release_after(_cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
 

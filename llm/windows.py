@@ -34,6 +34,10 @@ from llm import arrays
 from llm.common import BitFilter, rows_of, stage
 
 _LAST = np.iinfo(np.int64).max
+#: Phrases whose windows are made at once. A trigger with more is settled alone, its windows made in parts.
+_PIECE = 2_048
+#: Bytes of text whose listed phrases are copied at once: each byte lies in several of them.
+_COPIED = arrays.BLOCK_BYTES // 4
 _PHRASE = "k long, c long, doc long, th long, a int, b int, kind int"
 
 
@@ -195,31 +199,34 @@ def _cut_phrases(kind: Kind):
 
     def run(batches):
         for batch in batches:
-            listed = batch.column("listed").to_pylist()
+            listed = batch.column("listed")
+            size = listed.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            flat = [
+                listed.flatten().field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in "kab"
+            ]
             doc = batch.column("doc").fill_null(_LAST).to_numpy(zero_copy_only=False)
             th = batch.column("th").to_numpy(zero_copy_only=False)
-            for lo, hi, data, offsets in _texts(batch):
-                hasher, first = _sequence(kind, data, offsets)
-                rows = [
-                    (i - lo, x["k"], x["a"], x["b"]) for i in range(lo, hi) for x in listed[i] or ()
-                ]
-                if not rows:
+            for lo, hi, data, offsets in arrays.blocks(batch.column("text"), _COPIED):
+                k, a, b = (x[ends[lo] : ends[hi]] for x in flat)
+                if not len(k):
                     continue
-                text, k, a, b = (np.array(x, np.int64) for x in zip(*rows, strict=True))
+                hasher, first = _sequence(kind, data, offsets)
+                text = np.repeat(np.arange(hi - lo), size[lo:hi])
                 start = a + first[text]
                 if kind.words:
                     at, _ = arrays.expand(start, b - a + 1)
                     body = hasher.spans(at, at + kind.length)
-                    size = (b - a + 1) * 8
+                    taken = (b - a + 1) * 8
                 else:
                     at, _ = arrays.expand(start, b - a + kind.length)
                     body = data[at]
-                    size = b - a + kind.length
-                ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+                    taken = b - a + kind.length
+                cuts = np.concatenate([[0], np.cumsum(taken)]).astype(np.int64)
                 payload = pa.Array.from_buffers(
                     pa.large_binary(),
                     len(k),
-                    [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(body))],
+                    [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(body))],
                 ).cast(pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(k), pa.array(doc[lo + text]), pa.array(th[lo + text])]
@@ -251,22 +258,39 @@ def _windows(kind: Kind, table: pa.RecordBatch | pa.Table):
     return owner, start, hashed
 
 
+def _all_windows(kind: Kind, table: pa.Table):
+    """The same, made for ``_PIECE`` phrases at a time, with small numbers."""
+    parts = []
+    for lo in range(0, table.num_rows, _PIECE):
+        owner, start, hashed = _windows(kind, table.slice(lo, _PIECE))
+        parts.append(((owner + lo).astype(np.int32), start.astype(np.int32), hashed))
+    return (np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def _resolve(kind: Kind):
     """Rows sorted by trigger in; ranges of windows that start earlier out."""
 
     def settle(table: pa.Table) -> pa.RecordBatch:
         k = table.column("k").to_numpy()
         doc, th = table.column("doc").to_numpy(), table.column("th").to_numpy()
-        owner, start, hashed = _windows(kind, table)
-        keys = (start, th[owner], doc[owner], hashed, k[owner])
-        order = np.lexsort(keys)
-        start, owner_th, owner_doc, hashed, owner_k = (x[order] for x in keys)
-        by = [owner_doc, owner_th, start] if kind.within else [owner_doc]
-        later = _after_first([owner_k, hashed], by)
-        span = _joined(
-            owner_doc[later], owner_th[later], start[later], start[later] + kind.length
-        )
-        return _span_batch(span)
+        owner, start, hashed = _all_windows(kind, table)
+        order = np.lexsort((start, th[owner], doc[owner], hashed, k[owner]))
+        owner, start, hashed = owner[order], start[order], hashed[order]
+        by = [doc[owner], th[owner], start] if kind.within else [doc[owner]]
+        later = _after_first([k[owner], hashed], by)
+        owner, start = owner[later], start[later].astype(np.int64)
+        return _span_batch(_joined(doc[owner], th[owner], start, start + kind.length))
+
+    def pieces(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        k = table.column("k").to_numpy()
+        border = np.append(np.flatnonzero(k[1:] != k[:-1]) + 1, len(k))
+        lo = 0
+        while lo < len(k):
+            full = int(np.searchsorted(border, lo + _PIECE, "right")) - 1
+            whole = int(np.searchsorted(border, lo, "right"))  # the end of the first trigger
+            hi = int(border[max(full, whole)])
+            yield settle(table.slice(lo, hi - lo))
+            lo = hi
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -280,11 +304,11 @@ def _resolve(kind: Kind):
             k = table.column("k").to_numpy()
             cut = int(np.searchsorted(k, k[-1]))  # the last trigger may go on in the next batch
             if cut:
-                yield settle(table.slice(0, cut))
+                yield from pieces(table.slice(0, cut))
             held = table.slice(cut).combine_chunks().to_batches()
             size = table.num_rows - cut
         if held:
-            yield settle(pa.Table.from_batches(held))
+            yield from pieces(pa.Table.from_batches(held))
 
     return run
 
@@ -298,21 +322,21 @@ def _span_batch(span) -> pa.RecordBatch:
 def _explode_windows(kind: Kind):
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            owner, start, hashed = _windows(kind, batch)
-            columns = [batch.column(x).to_numpy()[owner] for x in ("k", "doc", "th")]
-            columns += [start.astype(np.int32), hashed.view(np.int64)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in columns], ["k", "doc", "th", "a", "h"]
-            )
+            for lo in range(0, batch.num_rows, _PIECE):
+                part = batch.slice(lo, _PIECE)
+                owner, start, hashed = _windows(kind, part)
+                columns = [part.column(x).to_numpy()[owner] for x in ("k", "doc", "th")]
+                columns += [start.astype(np.int32), hashed.view(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in columns], ["k", "doc", "th", "a", "h"]
+                )
 
     return run
 
 
 def _earlier_of_crowded(kind: Kind, phrases: DataFrame) -> DataFrame:
     """The same for triggers with very many phrases: one row per window, reduced before it moves."""
-    each = phrases.mapInArrow(_explode_windows(kind), "k long, doc long, th long, a int, h long")
+    each = phrases.mapInArrow(arrays.release_after(_explode_windows(kind)), "k long, doc long, th long, a int, h long")
     least = each.groupBy("k", "h").agg(F.min(F.struct(*kind.order)).alias("least"))
     return (
         each.join(least, ["k", "h"])
@@ -328,10 +352,10 @@ def earlier_ranges(docs: DataFrame, kind: Kind) -> DataFrame:
     Ranges of a document may overlap.
     """
     rows = docs.select("doc", F.xxhash64("text").alias("th"), "text")
-    counted = rows.select("text").mapInArrow(_count_triggers(kind), "k long, n long")
+    counted = rows.select("text").mapInArrow(arrays.release_after(_count_triggers(kind)), "k long, n long")
     repeated = counted.groupBy("k").agg(F.sum("n").alias("n")).where("n > 1").select("k")
     wanted = BitFilter(stage(repeated, "triggers"), "k")
-    found = stage(rows.mapInArrow(_find_phrases(kind, wanted), _PHRASE), "phrases")
+    found = stage(rows.mapInArrow(arrays.release_after(_find_phrases(kind, wanted)), _PHRASE), "phrases")
 
     at = Window.partitionBy("k", "c").orderBy(*kind.order)
     ranked = stage(
@@ -357,7 +381,7 @@ def earlier_ranges(docs: DataFrame, kind: Kind) -> DataFrame:
     )
     phrases = stage(
         _holders(rows, listed).mapInArrow(
-            _cut_phrases(kind), "k long, doc long, th long, a int, b int, payload binary"
+            arrays.release_after(_cut_phrases(kind)), "k long, doc long, th long, a int, b int, payload binary"
         ),
         "payloads",
     )
@@ -367,7 +391,7 @@ def earlier_ranges(docs: DataFrame, kind: Kind) -> DataFrame:
     local = (
         kept_apart.repartition("k")
         .sortWithinPartitions("k")
-        .mapInArrow(_resolve(kind), "doc long, th long, s int, e int")
+        .mapInArrow(arrays.release_after(_resolve(kind)), "doc long, th long, s int, e int")
     )
     many = _earlier_of_crowded(kind, phrases.join(crowded, "k", "left_semi"))
     return covered.unionByName(again).unionByName(local).unionByName(many)

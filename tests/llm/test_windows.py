@@ -1,5 +1,8 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from llm import windows
 from llm.substring_dedup import remove_repeated_words
 from llm.suffix_dedup import remove_repeated_bytes
 from tests.llm.helpers import PLAIN, corpus, frame, plain
@@ -78,3 +81,31 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeated_words(empty).count() == 0
     assert remove_repeated_bytes(empty).count() == 0
+
+
+def test_windows_of_few_phrases_are_made_at_once(monkeypatch):
+    rng = np.random.default_rng(9)
+    n, kind = 9000, windows.Kind(100, 32, words=False, within=True)
+    k = np.sort(np.append(rng.integers(0, 900, n - 3000), np.full(3000, 950)))  # the last in over one piece
+    body = rng.integers(97, 99, (n, 104)).astype(np.uint8)
+    body = body[rng.integers(0, 40, n)]
+    columns = [k, np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int32), np.full(n, 4, np.int32)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(x) for x in columns] + [pa.array([x.tobytes() for x in body])],
+        ["k", "doc", "th", "a", "b", "payload"],
+    )
+    seen, want = {}, set()
+    for i in range(n):
+        for p in range(5):
+            key = k[i], body[i, p : p + 100].tobytes()
+            if seen.setdefault(key, (i, p)) < (i, p):
+                want |= {(i, q) for q in range(p, p + 100)}
+    rows, before = [], windows._windows
+    monkeypatch.setattr(windows, "_windows", lambda a, x: rows.append(x.num_rows) or before(a, x))
+    parts = [batch.slice(i, 4000) for i in range(0, n, 4000)]
+    got = set()
+    for out in windows._resolve(kind)(iter(parts)):
+        for x in out.to_pylist():
+            got |= {(x["doc"], q) for q in range(x["s"], x["e"])}
+    assert got == want and want
+    assert max(rows) <= 2048 and sum(rows) == n

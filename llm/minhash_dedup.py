@@ -19,6 +19,10 @@ Buckets never turn into all their pairs:
    allow. Or, with ``s`` of its shingles frequent, the intersection is at most ``s``, which
    bounds the size of a partner, and they meet by bucket and size.
 
+A pair is made only if its parity sketches allow it: a node has ``PARITY`` bits, each the parity of
+the shingles that hash to it, and two sets differ in at least as many shingles as bits. The test is
+exact and part of the joins, so nodes of a crowded bucket that are similar, but not enough, make no rows.
+
 Candidates must agree in ``AGREE`` of all coordinates (kept as one byte each) before texts move;
 a pair at 0.85 falls short of that with probability 1e-8. Links are confirmed on full
 sets. Components spread by smallest labels through joins.
@@ -48,6 +52,9 @@ AGREE = 60
 SMALL = 32
 #: Times that a bucket's nodes are compared with one of them before other pairs are made.
 STARS = 3
+#: Bits of a parity sketch, 64 to a column.
+PARITY = 256
+_PARITY = [f"parity_{i}" for i in range(PARITY // 64)]
 _LAST = np.iinfo(np.int64).max
 
 
@@ -87,15 +94,27 @@ def signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
     return out
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of ``PARITY`` bits for each (not empty) set: how often its shingles hit each, modulo 2."""
+    shingles = np.concatenate(sets)
+    first = np.cumsum([0] + [len(x) for x in sets[:-1]])
+    bit = np.uint64(1) << (shingles & np.uint64(63))
+    word = (shingles >> np.uint64(6)) % np.uint64(len(_PARITY))
+    return np.stack(
+        [np.bitwise_xor.reduceat(bit * (word == np.uint64(i)), first) for i in range(len(_PARITY))], 1
+    )
+
+
 def _sign(size: int, bands: int, rows: int):
     def run(batches):
         for batch in batches:
-            n, node, band, sketch = [], [], [], []
+            n, node, band, sketch, parity = [], [], [], [], []
             for _, _, data, offsets in arrays.blocks(batch.column("text")):
                 sets = shingle_sets(data, offsets, size)
                 full = np.flatnonzero([len(x) > 0 for x in sets])
                 n += [len(x) for x in sets]
                 keys = np.zeros(len(sets), np.int64)
+                odd = np.zeros((len(sets), len(_PARITY)), np.uint64)
                 here: list = [None] * len(sets)
                 seen: list = [None] * len(sets)
                 if len(full):
@@ -105,6 +124,7 @@ def _sign(size: int, bands: int, rows: int):
                         np.cumsum([0] + [len(x) for x in some[:-1]]),
                     )
                     keys[full] = arrays.mix(sums).view(np.int64)
+                    odd[full] = parities(some)
                     sig = signatures(some, bands * rows)
                     for b in range(bands):
                         part = sig[:, b * rows : (b + 1) * rows].astype(np.uint64)
@@ -118,13 +138,16 @@ def _sign(size: int, bands: int, rows: int):
                     for i, keyed, short in zip(full.tolist(), stacked, small, strict=True):
                         here[i], seen[i] = keyed, short.tobytes()
                 node.append(keys)
+                parity.append(odd)
                 band += here
                 sketch += seen
+            parity = np.concatenate(parity) if parity else np.zeros((0, len(_PARITY)), np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("th"), pa.array(n, pa.int64())]
                 + [pa.array(np.concatenate(node) if node else np.zeros(0, np.int64))]
-                + [pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                ["doc", "th", "n", "node", "bands", "sketch"],
+                + [pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())]
+                + [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in parity.T],
+                ["doc", "th", "n", "node", "bands", "sketch", *_PARITY],
             )
 
     return run
@@ -209,6 +232,7 @@ class _Search:
         self.size, self.percent, self.small = size, percent, small
         self.rows = docs.select("doc", F.xxhash64("text").alias("th"), "text")
         schema = "doc long, th long, n long, node long, bands array<long>, sketch binary"
+        schema += "".join(f", {x} long" for x in _PARITY)
         self.signed = stage(self.rows.mapInArrow(arrays.release_after(_sign(size, bands, rows)), schema), "signed")
 
     def nodes(self) -> DataFrame:
@@ -232,13 +256,17 @@ class _Search:
         ).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return drawn.mapInArrow(arrays.release_after(_linked(self.size, self.percent)), "a long, b long")
 
-    def fits(self, a: Column, b: Column) -> Column:
-        """Sizes that can reach the similarity at all."""
-        return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
+    def fits(self, a: str, b: str) -> Column:
+        """Sizes and parities (columns named by a pattern for each node) that allow the similarity."""
+        size, other = F.col(a.format("n")), F.col(b.format("n"))
+        near = F.least(size, other) * 100 >= F.greatest(size, other) * self.percent
+        bits = [F.bit_count(F.col(a.format(x)).bitwiseXOR(F.col(b.format(x)))) for x in _PARITY]
+        # sets of i shingles in common differ in size + other - 2 * i
+        return near & (sum(bits[1:], bits[0]) * (100 + self.percent) <= (size + other) * (100 - self.percent))
 
     def links(self) -> DataFrame:
         nodes = stage(self.nodes(), "nodes")
-        each = nodes.select("node", "n", F.explode("bands").alias("key"))
+        each = nodes.select("node", "n", *_PARITY, F.explode("bands").alias("key"))
         buckets = stage(
             each.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets"
         )
@@ -250,11 +278,11 @@ class _Search:
         # the centre of a bucket: packed so that the largest company, then the smallest node wins
         ranked = members.join(company.select("node", "company"), "node")
         centre = ranked.groupBy("key").agg(
-            F.max_by(F.struct("node", "n"), F.struct("company", -F.col("node"))).alias("centre")
+            F.max_by(F.struct("node", "n", *_PARITY), F.struct("company", -F.col("node"))).alias("centre")
         )
         star = (
             members.join(centre, "key")
-            .where((F.col("node") != F.col("centre.node")) & self.fits(F.col("n"), F.col("centre.n")))
+            .where((F.col("node") != F.col("centre.node")) & self.fits("{}", "centre.{}"))
             .select(F.col("centre.node").alias("a"), F.col("node").alias("b"))
             .distinct()
         )
@@ -276,11 +304,13 @@ class _Search:
         open_ = self._open(members, links)
         for turn in range(1, STARS):
             other = open_.groupBy("key").agg(
-                F.max_by(F.struct("node", "n", "label"), F.xxhash64("key", "node", F.lit(turn))).alias("mid")
+                F.max_by(
+                    F.struct("node", "n", "label", *_PARITY), F.xxhash64("key", "node", F.lit(turn))
+                ).alias("mid")
             )
             pairs = (
                 open_.join(other, "key")
-                .where((F.col("label") != F.col("mid.label")) & self.fits(F.col("n"), F.col("mid.n")))
+                .where((F.col("label") != F.col("mid.label")) & self.fits("{}", "mid.{}"))
                 .select(F.least("node", "mid.node").alias("a"), F.greatest("node", "mid.node").alias("b"))
                 .distinct()
             )
@@ -302,12 +332,12 @@ class _Search:
 
     def _direct(self, open_: DataFrame) -> DataFrame:
         """Pairs of different components in small buckets."""
-        few = open_.where(F.col("size") <= self.small).select("key", "node", "n", "label")
-        other = few.select("key", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label")])
+        few = open_.where(F.col("size") <= self.small).select("key", "node", "n", "label", *_PARITY)
+        other = few.select("key", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", *_PARITY)])
         return (
             few.join(other, "key")
             .where("label != label_b AND node < node_b")
-            .where(self.fits(F.col("n"), F.col("n_b")))
+            .where(self.fits("{}", "{}_b"))
             .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         )
 
@@ -317,12 +347,12 @@ class _Search:
         A pair either has a shingle in common that few nodes hold, and meets there, or its
         intersection is at most the number of frequent shingles that either has.
         """
-        many = open_.where(F.col("size") > self.small).select("key", "node", "n", "label")
+        many = open_.where(F.col("size") > self.small).select("key", "node", "n", "label", *_PARITY)
         many = stage(many, "crowded")
         middle = centre.select("key", F.col("centre.node").alias("mid"))
         labelled = many.select(F.col("node").alias("mid"), "key", F.col("label").alias("mid_label"))
         core = middle.join(labelled, ["key", "mid"]).select("key", "mid_label")
-        here = many.select("node", "label").distinct()
+        here = many.select("node", "label", *_PARITY).distinct()
         own = texts.join(here, "node", "left_semi")
         counted = stage(
             own.select("text").mapInArrow(_count_shingles(self.size), "shingle long, n long")
@@ -347,28 +377,36 @@ class _Search:
             outside.withColumn("low", F.ceil(F.col("n") * p / 100).cast("long"))
             .withColumn("high", F.least(most, F.floor(F.col("n") * 100 / p).cast("long")))
             .where("low <= high")
-            .select("key", "node", "n", "label", "keys", F.explode(F.sequence("low", "high")).alias("n_b"))
+            .select(
+                *("key", "node", "n", "label", "keys", *_PARITY),
+                F.explode(F.sequence("low", "high")).alias("n_b"),
+            )
         )
-        columns = ("node", "n", "label", "s", "keys")
+        columns = ("node", "n", "label", "s", "keys", *_PARITY)
         other = known.select("key", *[F.col(x).alias(f"{x}_b") for x in columns])
         need = (F.col("n") + F.col("n_b")) * p <= F.col("s_b") * (100 + p)
         first = F.array_min(F.array_intersect("keys", "keys_b")) == F.col("key")
-        by_size = sizes.join(other, ["key", "n_b"]).where("label != label_b").where(need & first)
+        by_size = (
+            sizes.join(other, ["key", "n_b"])
+            .where("label != label_b")
+            .where(need & self.fits("{}", "{}_b"))
+            .where(first)
+        )
 
         held = (
             bound.join(here, "node")
-            .select("node", "n", "label", F.posexplode("seldom").alias("at", "shingle"))
+            .select("node", "n", "label", *_PARITY, F.posexplode("seldom").alias("at", "shingle"))
             .join(few, "shingle", "left_semi")
         )
         left = held.join(outside.select("node").distinct(), "node", "left_semi")
-        other = held.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", "at")])
+        other = held.select("shingle", *[F.col(x).alias(f"{x}_b") for x in ("node", "n", "label", "at", *_PARITY)])
         # of the first shingle in common, all others in common come after it on both sides
         after = F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
         enough = (F.col("n") + F.col("n_b")) * p <= after * (100 + p)
         by_shingle = (
             left.join(other, "shingle")
             .where("label != label_b")
-            .where(self.fits(F.col("n"), F.col("n_b")) & enough)
+            .where(self.fits("{}", "{}_b") & enough)
         )
         a, b = F.least("node", "node_b").alias("a"), F.greatest("node", "node_b").alias("b")
         return by_size.select(a, b).unionByName(by_shingle.select(a, b))

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from llm import arrays
+from llm import arrays, minhash_dedup
 from llm.exact_dedup import drop_copies, find_copies
 from llm.minhash_dedup import drop_near_copies, near_copies
 from tests.llm.helpers import PLAIN, corpus, fold, frame, plain, sha
@@ -106,6 +106,39 @@ def test_near_filter_keeps_one_of_each_group(spark):
     assert plain(got, "doc_id") == sorted(want, key=repr) and got.columns == docs.columns
 
 
+@pytest.mark.parametrize("n", [60, 120])
+def test_near_group_without_links_makes_few_pairs(spark, monkeypatch, n):
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(n):  # edits from a small pool, so most shingles are frequent
+        text = list(base)
+        for p in rng.sample(range(0, 120, 4), 8):
+            text[p] = f"v{rng.randrange(3)}"
+        rows.append((i, " ".join(text)))
+    made, before = [], minhash_dedup._Search.pairs_close
+
+    def counted(search, pairs, nodes):
+        made.append(pairs.count())
+        return before(search, pairs, nodes)
+
+    monkeypatch.setattr(minhash_dedup._Search, "pairs_close", counted)
+    got = near_copies(frame(spark, rows), small=8).drop("th")
+    assert plain(got) == brute_components(rows, 3, 85)
+    assert sum(made) < n
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
+    rng = np.random.default_rng(11)
+    sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64)) for _ in range(30)]
+    sets += [np.unique(np.append(x[rng.integers(0, 9) :], rng.integers(0, 99, 5).astype(np.uint64))) for x in sets]
+    bits = minhash_dedup.parities(sets)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            apart = len(np.setxor1d(x, y))
+            assert int(np.bitwise_count(bits[i] ^ bits[j]).sum()) <= apart
+
+
 def test_near_odd_rows(spark):
     rows = [(4, "A b C d"), (2, "a B c D"), (2, "a B c D"), (None, "a b c d"), (9, None), (8, " ")]
     got = plain(near_copies(frame(spark, rows)), "doc_id", "n_shingles", "component_id", "kept")

@@ -10,7 +10,8 @@ gathers no score from the many common words it has.
 
 Grades: 0 for not toxic, 1 for toxic, 2 for toxic and of low quality; ``grade_column`` gives
 another rule. The model is fitted on the driver from at most ``SAMPLE`` labelled documents
-of at most ``MAX_CHARS`` characters, chosen by a hash of the id. Scoring reads every whole text.
+of at most ``MAX_CHARS`` characters, chosen by a hash of the id. Their features are counted on Spark,
+and the driver gets only those with a weight. Scoring reads every whole text.
 
 Defined cases: a null text has no features; labels without id or toxic value are left out; of
 several labels of one id the highest grade counts; without labels, or with a single grade,
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import arrays
-from llm.common import bound_batches, rows_of, text_column
+from llm.common import bound_batches, rows_of, stage, text_column
 
 SAMPLE = 10_000
 MAX_CHARS = 8_000
@@ -85,6 +86,25 @@ def _sampled(batches):
         )
 
 
+def _keep_weighted(feature: np.ndarray):
+    """Of each row's features the places in ``feature`` (sorted) of those that are there."""
+
+    def run(batches):
+        for batch in batches:
+            listed = batch.column("features")
+            size = listed.value_lengths().to_numpy(zero_copy_only=False)
+            key = listed.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            place = np.minimum(np.searchsorted(feature, key), len(feature) - 1)
+            on = feature[place] == key
+            ends = np.concatenate([[0], np.cumsum(on)])[np.concatenate([[0], np.cumsum(size)])]
+            places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[on], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("at"), batch.column("grade"), places], ["at", "grade", "places"]
+            )
+
+    return run
+
+
 def grade_column():
     """The default grade of a row of ``labels``."""
     toxic = F.col("toxic") == 1
@@ -103,39 +123,39 @@ def fit(
     graded = known.groupBy(F.col("doc_id").alias("doc")).agg(F.max(grade_column()).alias("grade"))
     # at most ``sample`` rows of two numbers: small enough to send to every task
     chosen = F.broadcast(graded.orderBy(F.xxhash64("doc"), "doc").limit(sample))
-    rows = (
+    sampled = (
         rows_of(docs, id_col, text_col)
         .where(F.length("text") <= MAX_CHARS)
         .join(chosen, "doc")
         .select("grade", "text")
-        .mapInArrow(_sampled, "grade int, features array<long>")
-        .toArrow()
+        .mapInArrow(arrays.release_after(_sampled), "grade int, features array<long>")
+        .withColumn("at", F.monotonically_increasing_id())
     )
-    return _train(rows)
+    return _train(stage(sampled, "sampled"))
 
 
-def _train(rows: pa.Table) -> Model:
+def _train(rows: DataFrame) -> Model:
+    """A model from rows of a grade and features, summed in the order of ``at``."""
     none = Model(np.zeros(0, np.uint64), np.zeros(0), np.full(1, 50.0))
-    grade = rows.column("grade").to_numpy().astype(np.int64)
-    levels = np.unique(grade)
+    grades = {x.grade: x.n for x in rows.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    levels = np.array(sorted(grades), np.int64)
     if len(levels) < 2:
         return none
-    features = rows.column("features").combine_chunks()
-    size = features.value_lengths().to_numpy(zero_copy_only=False)
-    key = features.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-    row = np.repeat(np.arange(len(grade)), size)
-    feature, at, df = np.unique(key, return_inverse=True, return_counts=True)
-    high = grade > levels[0]
-    rate = high.mean()
-    positive = np.bincount(at, weights=high[row], minlength=len(feature))
-    z = (positive - df * rate) / np.sqrt(df * rate * (1 - rate) + 1e-12)
-    keep = (df >= MIN_DF) & (np.abs(z) >= Z)
-    place = np.cumsum(keep) - 1
-    on = keep[at]
-    col, row = place[at[on]], row[on]
-    feature = feature[keep]
+    total = sum(grades.values())
+    rate = (total - grades[levels[0]]) / total
+    feature = _beyond_chance(rows, int(levels[0]), rate)
     if not len(feature):
         return none
+    weighed = (
+        rows.mapInArrow(_keep_weighted(feature), "at long, grade int, places array<long>")
+        .toArrow()
+        .sort_by("at")
+    )
+    grade = weighed.column("grade").to_numpy().astype(np.int64)
+    places = weighed.column("places").combine_chunks()
+    size = places.value_lengths().to_numpy(zero_copy_only=False)
+    col = places.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(grade)), size)
     weight, threshold = _descend(grade, levels, row, col, len(feature))
     full = np.full(int(levels[-1]), threshold[-1])  # a grade that no sample has shares the next one's
     full[: int(levels[0])] = -50.0
@@ -144,6 +164,22 @@ def _train(rows: pa.Table) -> Model:
     return Model(feature, weight, full)
 
 
+def _beyond_chance(rows: DataFrame, lowest: int, rate: float) -> np.ndarray:
+    """Sorted features whose rows have grades above the lowest more often or seldom than chance."""
+    spread = F.sqrt(F.col("df") * rate * (1 - rate) + F.lit(1e-12))
+    some = (
+        rows.select("grade", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(F.count("*").alias("df"), F.count_if(F.col("grade") > lowest).alias("positive"))
+        .where(F.col("df") >= MIN_DF)
+        .where(F.abs(F.col("positive") - F.col("df") * rate) >= F.lit(0.99 * Z) * spread)
+        .toArrow()
+    )
+    df, positive = (some.column(x).to_numpy() for x in ("df", "positive"))
+    z = (positive - df * rate) / np.sqrt(df * rate * (1 - rate) + 1e-12)
+    return np.sort(some.column("feature").to_numpy()[np.abs(z) >= Z].view(np.uint64))
+
+
 def _descend(grade, levels, row, col, n_features, steps: int = 300, rate: float = 0.1):
     """Adam on the penalised cumulative-link likelihood; threshold gaps stay positive."""
     level = np.searchsorted(levels, grade)
@@ -231,7 +267,7 @@ def grade_texts(docs: DataFrame, model: Model, text_col: str = "text") -> DataFr
             T.StructField("toxic", T.BooleanType()),
         ]
     )
-    return rows.mapInArrow(_score(shared, text_col), schema)
+    return rows.mapInArrow(arrays.release_after(_score(shared, text_col)), schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:

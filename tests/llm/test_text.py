@@ -7,6 +7,8 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from pyspark.sql.classic.dataframe import DataFrame
+
 from llm import bpe, chat_format, decontaminate, license_scan, token_counts, toxicity
 from tests.llm.helpers import ALNUM, corpus, fold, frame, plain
 
@@ -179,6 +181,18 @@ def test_toxicity_held_out(spark):
     assert toxicity.grade_texts(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_sends_only_weighted_features_to_the_driver(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, " ".join("w%d" % rng.randrange(10**6) for _ in range(200))) for i in range(400)]
+    rows = [(i, x + " zzbad" * (i % 4 == 0)) for i, x in rows]
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    sent, before = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toArrow", lambda x: sent.append(before(x)) or sent[-1])
+    model = toxicity.fit(frame(spark, rows), labels)
+    assert len(model.feature) == 3 and (model.weight > 0).all()
+    assert sum(x.nbytes for x in sent) < 100_000  # all features of the sample take over a megabyte
+
+
 @pytest.mark.parametrize("rule", ["most", "start"])
 def test_tokens_per_section_against_brute_force(spark, rule):
     rows = corpus(13, n=30) + [(3000 + i, t) for i, t in enumerate(STRANGE)]

@@ -193,38 +193,39 @@ def _linked(size: int, percent: int):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, label``: the smallest node that links (a, b) reach, for every node with a link."""
-    both = stage(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-        "links",
-    )
-    labels = stage(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
-            "node", F.least("node", "least").alias("label"), F.lit(True).alias("new")
-        ),
-        "labels",
-    )
+    """``node, label``: the smallest node that links (a, b) reach, for every node with a link.
+
+    A round takes one aggregation of the labels of a node and of its neighbours, and one join that
+    follows labels; it ends at the first aggregation that changes none.
+    """
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = stage(links.select(F.explode(ways).alias("way")).select("way.*"), "links")
+    labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    labels = stage(labels.select("node", F.least("node", "least").alias("label")), "labels")
     while True:
-        told = (
-            both.join(labels.withColumnRenamed("node", "a"), "a")
-            .groupBy(F.col("b").alias("node"))
-            .agg(F.min("label").alias("told"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        told = both.join(labels.withColumnRenamed("node", "a"), "a").select(
+            F.col("b").alias("node"), "label", F.lit(None).cast("long").alias("was")
         )
-        heard = labels.join(told, "node").select(
-            "node", F.col("label").alias("was"), F.least("label", "told").alias("label")
+        heard = own.unionByName(told).groupBy("node").agg(
+            F.min("label").alias("label"), F.min("was").alias("was")
         )
         heard = stage(heard, "heard")
+        if heard.where("label < was").isEmpty():
+            return labels
         jump = heard.select(F.col("node").alias("label"), F.col("label").alias("further"))
         labels = stage(
             heard.join(jump, "label", "left").select(
-                "node",
-                F.coalesce("further", "label").alias("label"),
-                (F.coalesce("further", "label") != F.col("was")).alias("new"),
+                "node", F.coalesce("further", "label").alias("label")
             ),
             "labels",
         )
-        if labels.where("new").isEmpty():
-            return labels.select("node", "label")
+
+
+def _further(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of ``components`` when more links are known: one link a node stands for those before."""
+    known = labels.where("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return components(known.unionByName(links.select("a", "b")))
 
 
 class _Search:
@@ -264,7 +265,8 @@ class _Search:
         # sets of i shingles in common differ in size + other - 2 * i
         return near & (sum(bits[1:], bits[0]) * (100 + self.percent) <= (size + other) * (100 - self.percent))
 
-    def links(self) -> DataFrame:
+    def labels(self) -> DataFrame:
+        """``node, label`` of every node with a link: the smallest node of its component."""
         nodes = stage(self.nodes(), "nodes")
         each = nodes.select("node", "n", *_PARITY, F.explode("bands").alias("key"))
         buckets = stage(
@@ -274,7 +276,6 @@ class _Search:
         members = stage(each.where(maybe).join(buckets, "key"), "members")
         company = members.groupBy("node").agg(F.sum("size").alias("company"), F.first("n").alias("n"))
         company = stage(company, "company")
-        self.candidates = company.select("node")
         # the centre of a bucket: packed so that the largest company, then the smallest node wins
         ranked = members.join(company.select("node", "company"), "node")
         centre = ranked.groupBy("key").agg(
@@ -286,8 +287,9 @@ class _Search:
             .select(F.col("centre.node").alias("a"), F.col("node").alias("b"))
             .distinct()
         )
-        used = nodes.join(self.candidates, "node", "left_semi")
-        holders = stage(used.select("node", "doc", "th"), "holders")
+        used = nodes.join(company, "node", "left_semi")
+        used = stage(used.select("node", "doc", "th", "n", "sketch"), "holders")
+        holders = used.select("node", "doc", "th")
         key = F.xxhash64("doc", "th")
         wanted = BitFilter(holders.select(key.alias("key")), "key")
         keyed = self.rows.withColumn("doc", F.coalesce("doc", F.lit(_LAST)))
@@ -298,11 +300,11 @@ class _Search:
             .select("node", "text"),
             "texts",
         )
-        used = stage(used.select("node", "n", "sketch"), "sketches")
-        first = stage(self.confirmed(self.pairs_close(star, used), texts), "first")
-        links = first
-        open_ = self._open(members, links)
+        labels = components(self.confirmed(self.pairs_close(star, used), texts))
+        open_ = self._open(members, labels)
         for turn in range(1, STARS):
+            if open_.isEmpty():
+                return labels
             other = open_.groupBy("key").agg(
                 F.max_by(
                     F.struct("node", "n", "label", *_PARITY), F.xxhash64("key", "node", F.lit(turn))
@@ -315,18 +317,21 @@ class _Search:
                 .distinct()
             )
             more = stage(self.confirmed(self.pairs_close(pairs, used), texts), "more")
-            links = links.unionByName(more)
-            open_ = self._open(members, links)
-        rest = self._direct(open_).unionByName(self._crowded(open_, centre, texts)).distinct()
-        second = self.confirmed(self.pairs_close(rest, used), texts)
-        return links.unionByName(second)
-
-    def _open(self, members: DataFrame, links: DataFrame) -> DataFrame:
+            if not more.isEmpty():
+                labels = _further(labels, more)
+                open_ = self._open(open_.drop("label"), labels)  # components only grow
+        rest = self._direct(open_)
+        crowded = stage(open_.where(F.col("size") > self.small), "crowded")
+        if not crowded.isEmpty():
+            rest = rest.unionByName(self._crowded(crowded, centre, texts))
+        last = stage(self.confirmed(self.pairs_close(rest.distinct(), used), texts), "last")
+        return labels if last.isEmpty() else _further(labels, last)
+
+    def _open(self, members: DataFrame, labels: DataFrame) -> DataFrame:
         """Members with their component, in buckets with several."""
-        labels = self.candidates.join(components(links), "node", "left").select(
-            "node", F.coalesce("label", "node").alias("label")
-        )
-        placed = stage(members.join(stage(labels, "labels"), "node"), "placed")
+        label = F.coalesce("label", "node").alias("label")
+        placed = members.join(labels, "node", "left").select(*members.columns, label)
+        placed = stage(placed, "placed")
         several = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         return stage(placed.join(several.where("low != high").select("key"), "key"), "open")
 
@@ -341,14 +346,13 @@ class _Search:
             .select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         )
 
-    def _crowded(self, open_: DataFrame, centre: DataFrame, texts: DataFrame) -> DataFrame:
+    def _crowded(self, crowded: DataFrame, centre: DataFrame, texts: DataFrame) -> DataFrame:
         """Pairs of different components in crowded buckets, as far as shared shingles allow.
 
         A pair either has a shingle in common that few nodes hold, and meets there, or its
         intersection is at most the number of frequent shingles that either has.
         """
-        many = open_.where(F.col("size") > self.small).select("key", "node", "n", "label", *_PARITY)
-        many = stage(many, "crowded")
+        many = crowded.select("key", "node", "n", "label", *_PARITY)
         middle = centre.select("key", F.col("centre.node").alias("mid"))
         labelled = many.select(F.col("node").alias("mid"), "key", F.col("label").alias("mid_label"))
         core = middle.join(labelled, ["key", "mid"]).select("key", "mid_label")
@@ -472,7 +476,7 @@ def near_copies(
 ) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id, kept, th`` (``th``: hash of the text)."""
     search = _Search(rows_of(docs, id_col, text_col), shingle, percent, BANDS, ROWS, small)
-    labels = stage(components(search.links()), "last_labels")
+    labels = search.labels()
     signed = search.signed.select("doc", "th", "n", "node")
     classes = (
         signed.where("n > 0").groupBy("node").agg(F.min("doc").alias("least"))

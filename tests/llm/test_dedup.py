@@ -128,6 +128,36 @@ def test_near_group_without_links_makes_few_pairs(spark, monkeypatch, n):
     assert sum(made) < n
 
 
+def test_near_starts_few_jobs(spark):
+    """Each job costs the driver memory, so links are confirmed once and known labels are kept."""
+    docs = frame(spark, corpus(6) + [(5000 + i, t) for i, t in variants(6)])
+    context = spark.sparkContext
+    context.setJobGroup("near", "near copies")
+    try:
+        near_copies(docs).collect()
+    finally:
+        context._jsc.clearJobGroup()
+    assert len(context.statusTracker().getJobIdsForGroup("near")) < 150
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_components_of_links_known_at_once_or_in_turns(spark, seed):
+    rng = random.Random(seed)
+    links = [(i, i + 1) for i in range(40)] + [(100, x) for x in rng.sample(range(101, 140), 20)]
+    links += [tuple(rng.sample(range(200, 260), 2)) for _ in range(35)]
+    links = [rng.sample(x, 2) for x in links]
+    rng.shuffle(links)
+    label = {x: x for link in links for x in link}
+    for _ in label:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    made = [spark.createDataFrame(x, "a long, b long") for x in (links[:60], links[60:], links)]
+    want = sorted(label.items(), key=repr)
+    assert plain(minhash_dedup.components(made[2]), "node", "label") == want
+    known = minhash_dedup.components(made[0])
+    assert plain(minhash_dedup._further(known, made[1]), "node", "label") == want
+
+
 def test_parities_differ_in_no_more_bits_than_sets_in_shingles():
     rng = np.random.default_rng(11)
     sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 400)).astype(np.uint64)) for _ in range(30)]

@@ -219,7 +219,10 @@ def _one_piece_a_hash(words: DataFrame) -> None:
 
 
 class _Common:
-    """The most frequent pieces: sorted hashes, and their ids one after another."""
+    """The most frequent pieces: sorted hashes, and their ids one after another.
+
+    Each worker holds the table, so ids and places take no wider numbers than they need.
+    """
 
     def __init__(self, rows: pa.Table):
         order = np.argsort(rows.column("hash").to_numpy().view(np.uint64))
@@ -227,8 +230,9 @@ class _Common:
         self.hash = rows.column("hash").to_numpy().view(np.uint64).copy()
         raw = [x or b"" for x in rows.column("ids").to_pylist()]
         ends = np.cumsum([len(x) // 4 for x in raw or [b""]])
-        self.first = np.concatenate([[0], ends]).astype(np.int64)
-        self.ids = np.frombuffer(b"".join(raw) or bytes(4), "<u4").copy()
+        self.first = np.concatenate([[0], ends]).astype(np.int64 if ends[-1] >> 31 else np.int32)
+        ids = np.frombuffer(b"".join(raw) or bytes(4), "<u4")
+        self.ids = ids.astype("<u4" if int(ids.max()) > 0xFFFF else "<u2")
 
 
 def _fill(path: str, shared, only_holes: bool = False):

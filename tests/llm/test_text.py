@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -33,6 +34,17 @@ def test_bpe_equals_the_library_and_returns(spark, common):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("top,width", [(0xFFFF, 2), (0x10000, 4)])
+def test_bpe_table_of_common_pieces_is_narrow(top, width):
+    keys, ids = [-5, 9, 3], [[7, top], [], [1, 2, 3]]
+    raw = [np.array(x, "<u4").tobytes() for x in ids]
+    table = bpe._Common(pa.table({"hash": keys, "ids": pa.array(raw, pa.binary())}))
+    assert (table.ids.itemsize, table.first.itemsize) == (width, 4)
+    for key, want in zip(keys, ids, strict=True):
+        at = int(np.searchsorted(table.hash, np.array([key]).view(np.uint64))[0])
+        assert table.ids[table.first[at] : table.first[at + 1]].tolist() == want
+
+
 def test_bpe_empty_table(spark):
     assert bpe.digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

@@ -3,15 +3,45 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from readsift.functions import kmers as km
 from readsift.operators import kmer
 from readsift.operators.taxonomy import taxon_closure
+from readsift.sources import chunks
 from tests.test_kmers import REPORT
 
 TREE = [(1, 0), (2, 1), (10, 2), (100, 3), (101, 3), (11, 2), (110, 3)]
 
 
+def text_batch(*rows):
+    path, split, value = zip(*rows, strict=True)
+    return pa.record_batch([pa.array(path), pa.array(split, pa.int64()), pa.array(value)], ["path", "split", "value"])
+
+
+def test_lines_between_headers_are_cut_at_once(monkeypatch):
+    taken = []
+    whole = chunks._Split.lines
+    monkeypatch.setattr(chunks._Split, "lines", lambda self, text: (taken.append(text), whole(self, text)))
+    batch = text_batch(
+        ("file:///a", 0, "AC"), ("file:///a", 0, ""), ("file:///a", 0, "GT\r"), ("file:///a", 0, ">x y\r"), ("file:///a", 0, " A\tC "),
+        ("file:///a", 0, "G"), ("file:///a", 40, "TT"), ("hdfs://h/b", 40, ">z"), ("hdfs://h/b", 40, ">é"), ("hdfs://h/b", 40, "N"),
+    )
+    rows = [r for b in chunks._cut(2, 1)(iter([batch.slice(0, 5), batch.slice(5)])) for r in b.to_pylist()]
+    assert taken == ["ACGT\r", " A\tC ", "G", "TT", "N"]
+    got = [(r["path"], r["split"], r["description"], r["start"], r["seq"]) for r in rows if not r["summary"]]
+    assert got == [
+        ("file:/a", 0, None, 0, "AC"), ("file:/a", 0, None, 2, "CGT"), ("file:/a", 0, "x y", 0, "AC"), ("file:/a", 0, "x y", 2, "CG"),
+        ("file:/a", 40, None, 0, "TT"), ("hdfs://h/b", 40, "z", 0, ""), ("hdfs://h/b", 40, "é", 0, "N"),
+    ]
+
+
+def test_paths_of_chunks_are_those_of_the_scan(spark, tmp_path):
+    (tmp_path / "a b%é.fna").write_text(">c1\nACGT\n")
+    want = spark.read.text(str(tmp_path)).select("_metadata.file_path").first()[0]
+    assert {r.path for r in chunks.read_genome_chunks(spark, str(tmp_path)).collect()} == {want}
+
+
 def test_kmers_of_a_long_run_are_numbered_when_distinct():
     rng = random.Random(4)
     word = "".join(rng.choices("ACGT", k=64))

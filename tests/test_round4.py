@@ -1,6 +1,7 @@
 """Steps whose time or disk grew too fast with the tables."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,9 @@ import pyarrow as pa
 from readsift.functions import kmers as km
 from readsift.operators import kmer
 from readsift.operators.taxonomy import taxon_closure
+from readsift.session import stage
 from readsift.sources import chunks
+from tests.conftest import plain
 from tests.test_kmers import REPORT
 
 TREE = [(1, 0), (2, 1), (10, 2), (100, 3), (101, 3), (11, 2), (110, 3)]
@@ -65,3 +68,44 @@ def test_no_task_sorts_letters_for_the_index(spark, table):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     joins = [x for x in plan.splitlines() if "LeftOuter" in x and "accession" in x]
     assert joins and all("ShuffledHashJoin" in x and "BuildRight" in x for x in joins)
+
+
+def calls_and_counts(spark, table, rounds_of, monkeypatch):
+    rng = random.Random(9)
+    closure = taxon_closure(table(REPORT, *[("db", i, lvl, "G", t) for i, (t, lvl) in enumerate(TREE)])).drop("sample")
+    contigs = {c: "".join(rng.choices("ACGT", k=60)) for c in ("c1", "c2", "c3")}
+    taxonomy = table("accession string, id int", ("c1", 100), ("c2", 101), ("c3", 110))
+    index = kmer.kmer_index(table("accession string, seq string", *contigs.items()), taxonomy, closure, 5)
+    rows = [(f"s{i % 2}", f"r{i % 40}", "".join(rng.choices("ACGTN", [9, 9, 9, 9, 1], k=20))) for i in range(80)]
+    reads = table("sample string, id string, seq string", *rows, (None, None, "ACGTACGT"), ("s0", None, contigs["c1"][:9]))
+    monkeypatch.setattr(kmer, "ROUND_KMERS", rounds_of)
+    matches = kmer.kmer_matches(reads, index, 5)
+    kmers = matches.kmers().groupBy("sample", "taxid", "kmer").agg({"n": "sum"})
+    counts = kmer.clade_kmers(matches.kmers(), closure, rounds=matches.rounds)
+    return matches.rounds, plain(kmer.classify_matches(matches, closure)), plain(kmers), plain(counts)
+
+
+def test_rounds_do_not_change_calls(spark, table, monkeypatch):
+    one, *whole = calls_and_counts(spark, table, 1 << 28, monkeypatch)
+    many, *parts = calls_and_counts(spark, table, 300, monkeypatch)
+    assert one == 1 and 1 < many <= kmer.MAX_ROUNDS and parts == whole and len(whole[0]) == 42
+
+
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for d in disk.localDirs() for x in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    staged = stage(spark.range(1000).repartition(7, "id"), "t")
+    assert shuffle_files(spark) <= before and staged.count() == 1000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) != "true"
+
+
+def test_paths_of_reads_are_dealt_once(spark, table):
+    closure = taxon_closure(table(REPORT, *[("db", i, lvl, "G", t) for i, (t, lvl) in enumerate(TREE)])).drop("sample")
+    hits = table("id string, sample string, taxid int, hits long, n_kmers long, n_taxa long", ("a", "s", 100, 2, 5, 2), ("a", "s", 110, 2, 5, 2))
+    best = kmer._best_taxon(hits, stage(closure, "closure"), 0.2)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") == 1 and plain(best) == [("a", "s", 2, 5)]

@@ -9,6 +9,7 @@ import pyarrow as pa
 from readsift.functions import kmers as km
 from readsift.operators import kmer
 from readsift.operators.taxonomy import taxon_closure
+from readsift.plans.classification import Classifier
 from readsift.session import stage
 from readsift.sources import chunks
 from tests.conftest import plain
@@ -87,7 +88,7 @@ def calls_and_counts(spark, table, rounds_of, monkeypatch):
 
 def test_rounds_do_not_change_calls(spark, table, monkeypatch):
     one, *whole = calls_and_counts(spark, table, 1 << 28, monkeypatch)
-    many, *parts = calls_and_counts(spark, table, 300, monkeypatch)
+    many, *parts = calls_and_counts(spark, table, 600, monkeypatch)
     assert one == 1 and 1 < many <= kmer.MAX_ROUNDS and parts == whole and len(whole[0]) == 42
 
 
@@ -109,3 +110,19 @@ def test_paths_of_reads_are_dealt_once(spark, table):
     best = kmer._best_taxon(hits, stage(closure, "closure"), 0.2)
     plan = best._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(id") == 1 and plain(best) == [("a", "s", 2, 5)]
+
+
+def test_a_report_tells_kmers_apart_in_parts(spark, table, monkeypatch):
+    rng = random.Random(2)
+    taxa = table(REPORT, *[("db", i, lvl, "G", t) for i, (t, lvl) in enumerate(TREE)])
+    contigs = {c: "".join(rng.choices("ACGT", k=60)) for c in ("c1", "c2")}
+    taxonomy = table("accession string, id int", ("c1", 100), ("c2", 110))
+    classifier = Classifier(table("accession string, seq string", *contigs.items()), taxonomy, taxa, 5, 2)
+    rows = [("s", f"r{i}", contigs[f"c{1 + i % 2}"][i : i + 20]) for i in range(30)]
+    reads = table("sample string, id string, seq string", *rows)
+    whole = plain(classifier.report(reads))
+    names = []
+    monkeypatch.setattr(kmer, "stage", lambda df, name: (names.append(name), stage(df, name))[1])
+    monkeypatch.setattr(kmer, "ROUND_KMERS", 300)
+    assert plain(classifier.report(reads)) == whole and len(whole) == 6
+    assert names.count("sums") == names.count("read_hits") == 2

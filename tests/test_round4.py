@@ -126,3 +126,12 @@ def test_a_report_tells_kmers_apart_in_parts(spark, table, monkeypatch):
     monkeypatch.setattr(kmer, "ROUND_KMERS", 300)
     assert plain(classifier.report(reads)) == whole and len(whole) == 6
     assert names.count("sums") == names.count("read_hits") == 2
+
+
+def test_pieces_of_sliced_and_large_columns():
+    lines = ["skipped", ">a", "AC", "", "GT", ">b", ">", "T", "G"]
+    want = [(0, True, ">a"), (1, False, "ACGT"), (4, True, ">b"), (5, True, ">"), (6, False, "T"), (7, False, "G")]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(lines, kind).slice(1)
+        assert list(chunks._pieces(column, np.array([0, 7]))) == want
+    assert list(chunks._pieces(pa.array(["", ""]), np.array([0]))) == [(0, False, "")]
